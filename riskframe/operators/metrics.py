@@ -11,12 +11,29 @@ from pyspark.sql import functions as F
 from riskframe.operators.ranking import calibration_table, review_queue
 from riskframe.schema import LABEL
 
-# Score ranges over which the sums below are spread; a range then holds about
-# one 4096th of the distinct scores.
-SCORE_RANGES = 4096
+# Distinct scores one task runs over; longer score columns get more ranges.
+RANGE_ROWS = 4_000_000
+FEWEST_RANGES, MOST_RANGES = 128, 16_384
 
 
-def ranking_areas(scored: DataFrame, score: str = "score", label: str = LABEL, ranges: int = SCORE_RANGES) -> DataFrame:
+def _range_edges(rows: DataFrame, range_rows: int) -> list[float]:
+    """Scores that cut the rows into ranges of at most about ``range_rows`` rows,
+    apart from rows that share one score."""
+    def cut(ranges: int):
+        shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+        sketch = F.expr(f"percentile_approx(_score, array({shares}), {max(10_000, 5 * ranges)})")
+        return rows.agg(F.count("*").alias("n"), sketch.alias("cuts")).first()
+
+    found = cut(FEWEST_RANGES)
+    needed = min(MOST_RANGES, found.n // range_rows + 1)
+    if needed > FEWEST_RANGES:
+        found = cut(needed)
+    return sorted(set(found.cuts or [0.0]))
+
+
+def ranking_areas(
+    scored: DataFrame, score: str = "score", label: str = LABEL, range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """ROC-AUC (ties count half) and average precision, as one row.
 
     Rows are first summed per distinct score.  Running sums then go over score
@@ -26,11 +43,7 @@ def ranking_areas(scored: DataFrame, score: str = "score", label: str = LABEL, r
     rows = scored.where(F.col(score).isNotNull()).select(
         F.col(score).cast("double").alias("_score"), F.col(label).cast("long").alias("_y")
     )
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = rows.agg(F.percentile_approx("_score", shares, 5 * ranges).alias("c")).first().c or [0.0]
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 4:
-        splits.insert(1, splits[1] - 1.0)
+    splits = [float("-inf"), *_range_edges(rows, range_rows), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(rows)
     per_score = ranged.groupBy("_range", "_score").agg(F.sum("_y").alias("pos"), F.count("*").alias("cnt"))
 

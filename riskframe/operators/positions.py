@@ -16,9 +16,11 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,15 +99,27 @@ def order_statistics(
     """
     floating = isinstance(df.schema[key].dataType, (T.DoubleType, T.FloatType))
     sort_key = F.col(key).cast("double" if floating else "long")
-    rows = df.where(F.col(key).isNotNull()).select(
+    narrow = df.where(F.col(key).isNotNull()).select(
         (-sort_key if descending else sort_key).alias("_key"), F.col(tie).cast("long").alias("_tie")
     )
+    # Two columns, read by every pass; a lost block is computed again from df.
+    narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, found = _search(narrow, wanted, floating, buckets, fetch_rows)
+    finally:
+        narrow.unpersist()
+    return n, {p: (-k if descending else k, t) for p, (k, t) in found.items()}
+
+
+def _search(
+    narrow: DataFrame, wanted: Callable[[int], Iterable[int]], floating: bool, buckets: int, fetch_rows: int
+) -> tuple[int, dict[int, Position]]:
     spans = [
         F.count("*").alias("n"),
         F.min("_key").alias("k0"), F.max("_key").alias("k1"),
         F.min("_tie").alias("t0"), F.max("_tie").alias("t1"),
     ]
-    total = rows.agg(*spans).first()
+    total = narrow.agg(*spans).first()
     positions = sorted({int(p) for p in wanted(total.n)})
     if not positions:
         return total.n, {}
@@ -114,29 +128,36 @@ def order_statistics(
 
     found: dict[int, Position] = {}
     ranges = [_Range(0, total.n, (total.k0, total.t0), (total.k1, total.t1), positions)]
-    rows = rows.withColumn("_range", F.lit(0))
+    rows = narrow.withColumn("_range", F.lit(0))
     while True:
         for r in ranges:
             if r.single_value:
                 found.update(dict.fromkeys(r.wanted, r.low))
-        if all(r.single_value for r in ranges):
-            break
-        if sum(r.count for r in ranges) <= fetch_rows:
-            found |= _fetch(rows, ranges)
+        open_rows = sum(r.count for r in ranges if not r.single_value)
+        if open_rows <= fetch_rows:
+            if open_rows:
+                found |= _fetch(rows, ranges)
             break
-        cuts = _bucket_columns(ranges, buckets, floating)
-        if len(cuts) == 1:
-            rows = rows.withColumns({c: F.lit(v) for c, v in cuts[0].items()})
-        else:
-            rows = rows.join(F.broadcast(_small_table(df, cuts, _CUT_SCHEMA)), "_range")
+        rows = _attach(rows, _bucket_columns(ranges, buckets, floating), ["_range"], _CUT_SCHEMA)
         rows = rows.select("_range", "_key", "_tie", _bucket(floating).alias("_bucket"))
         histogram = sorted(rows.groupBy("_range", "_bucket").agg(*spans).collect())
         ranges, keep = _narrow(ranges, histogram)
-        kept = _small_table(df, keep, "_range int, _bucket bigint, _next int")
-        rows = rows.join(F.broadcast(kept), ["_range", "_bucket"]).select(
-            F.col("_next").alias("_range"), "_key", "_tie"
-        )
-    return total.n, {p: (-k if descending else k, t) for p, (k, t) in found.items()}
+        rows = _attach(rows, keep, ["_range", "_bucket"], "_range int, _bucket bigint, _next int")
+        rows = rows.select(F.col("_next").alias("_range"), "_key", "_tie")
+    return total.n, found
+
+
+def _attach(rows: DataFrame, small: list[dict], keys: list[str], schema: str) -> DataFrame:
+    """Inner join with rows known on the driver; a few of them become literals."""
+    if len(small) > 32:
+        return rows.join(F.broadcast(_small_table(rows, small, schema)), keys)
+    kinds = dict(part.split() for part in schema.split(", "))
+    choice = None
+    for entry in small:
+        here = reduce(Column.__and__, [F.col(k) == entry[k] for k in keys])
+        values = F.struct(*[F.lit(entry[c]).cast(kinds[c]).alias(c) for c in kinds if c not in keys])
+        choice = F.when(here, values) if choice is None else choice.when(here, values)
+    return rows.withColumn("_entry", choice).where(F.col("_entry").isNotNull()).select("*", "_entry.*").drop("_entry")
 
 
 def _narrow(ranges: list[_Range], histogram: list) -> tuple[list[_Range], list[dict]]:
@@ -156,14 +177,14 @@ def _narrow(ranges: list[_Range], histogram: list) -> tuple[list[_Range], list[d
 
 def _fetch(rows: DataFrame, ranges: list[_Range]) -> dict[int, Position]:
     """Number the few remaining rows and bring back only the wanted ones."""
+    unknown = {number: r for number, r in enumerate(ranges) if not r.single_value}
     pairs = [
-        dict(_range=number, _row=p - r.start, _position=p)
-        for number, r in enumerate(ranges) for p in r.wanted
+        dict(_range=number, _row=p - r.start, _position=p) for number, r in unknown.items() for p in r.wanted
     ]
-    targets = _small_table(rows, pairs, "_range int, _row bigint, _position bigint")
     order = Window.partitionBy("_range").orderBy("_key", "_tie")
-    numbered = rows.withColumn("_row", F.row_number().over(order).cast("long") - 1)
-    picked = numbered.join(F.broadcast(targets), ["_range", "_row"]).collect()
+    few = rows.where(F.col("_range").isin(list(unknown)))
+    numbered = few.withColumn("_row", F.row_number().over(order).cast("long") - 1)
+    picked = _attach(numbered, pairs, ["_range", "_row"], "_range int, _row bigint, _position bigint").collect()
     return {row["_position"]: (row["_key"], row["_tie"]) for row in picked}
 
 

@@ -185,7 +185,7 @@ def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = Tree
         stages.append(indexer.fit(train))
     stages.append(VectorAssembler(inputCols=inputs.columns(), outputCol="features"))
     stages.append(GBTClassifier(
-        labelCol=LABEL, weightCol="weight", validationIndicatorCol="is_val", maxIter=settings.trees,
+        labelCol=LABEL, weightCol="weight", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.trees,
         maxDepth=settings.depth, stepSize=settings.step, subsamplingRate=settings.row_share,
         featureSubsetStrategy=settings.feature_share, minInstancesPerNode=settings.min_rows, seed=settings.seed,
         maxBins=max(32, MAX_CATEGORIES + 1),

@@ -71,7 +71,7 @@ _EXAMPLES = """
   FROM (
     SELECT *, cast(ln(1 + TransactionAmt) AS real) AS amt_log, row_number() OVER (ORDER BY score DESC, TransactionID) - 1 AS r,
       count(*) OVER () AS n FROM held)
-  WHERE r IN (SELECT floor(i * ((n - 1) / cast(9 AS double))) FROM range(0, 10) e(i))"""
+  WHERE r IN (SELECT CASE WHEN i = 9 THEN n - 1 ELSE floor(i * ((n - 1) / cast(9 AS double))) END FROM range(0, 10) e(i))"""
 
 _POLICY = """
 policy AS (
@@ -183,7 +183,9 @@ _SPACED = """
   SELECT TransactionID, TransactionDT, isFraud FROM (
     SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY TransactionDT, TransactionID) - 1 AS r,
       count(*) OVER (PARTITION BY isFraud) AS m, CASE isFraud WHEN 1 THEN 50 ELSE 450 END AS k FROM held)
-  WHERE k >= m OR r IN (SELECT floor(i * ((m - 1) / cast(k - 1 AS double))) FROM range(0, 450) e(i) WHERE i < k)"""
+  WHERE k >= m OR r IN (
+    SELECT CASE WHEN i = k - 1 THEN m - 1 ELSE floor(i * ((m - 1) / cast(k - 1 AS double))) END
+    FROM range(0, 450) e(i) WHERE i < k)"""
 
 _CODES = """
 SELECT 'ProductCD' AS "column", ProductCD AS value, cast(row_number() OVER (ORDER BY ProductCD) - 1 AS bigint) AS code

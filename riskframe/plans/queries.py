@@ -42,6 +42,11 @@ def sliced(rows: DataFrame) -> DataFrame:
     return fit_time_split(rows).assign(rows)
 
 
+def stored_slices(spark: SparkSession, d: str) -> DataFrame:
+    """Scored transactions written once by slice, for reports that read them often."""
+    return materialise(sliced(views.scored(spark, d)), "slices", partition_by=["split"])
+
+
 def holdout(spark: SparkSession, d: str) -> DataFrame:
     return sliced(views.scored(spark, d)).where(F.col("split") == "holdout")
 
@@ -144,9 +149,9 @@ def run_ledger(spark, d):
 
 
 def _evaluation(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = sliced(views.scored(spark, d))
+    rows = stored_slices(spark, d)
     policy = ranking.fit_review_policy(rows.where(F.col("split") == "val"))
-    held = materialise(rows.where(F.col("split") == "holdout"), "scored")
+    held = rows.where(F.col("split") == "holdout")
     record = metrics.evaluate(held, policy)
     exact = {"roc_auc", "pr_auc", "brier_score"}
     return rows, held, record.select(*[F.round(c, 6).alias(c) if c in exact else F.col(c) for c in record.columns])
@@ -576,9 +581,9 @@ def release_gate(spark, d):
 
 @query("H7_drift_record")
 def drift_record(spark, d):
-    rows = sliced(views.scored(spark, d))
+    rows = stored_slices(spark, d)
     recorded = metrics.ranking_areas(rows.where(F.col("split") == "val")).first().roc_auc
-    held = materialise(rows.where(F.col("split") == "holdout"), "responses")
+    held = rows.where(F.col("split") == "holdout")
     records = [
         monitor.drift_record(_responses(held, failing), round(recorded, 6), release=name).drop("lines")
         for name, failing in (("answered", False), ("with errors", True))
