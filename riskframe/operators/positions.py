@@ -30,9 +30,17 @@ from riskframe.session import materialise
 Position = tuple[float | int, int]
 
 
+# Up to this many ranges are told apart by literals, more by a broadcast join.
+_LITERAL_RANGES = 32
+
+
 @dataclass
 class _Range:
-    """Consecutive positions of the order: where they start and what they span."""
+    """Consecutive positions of the order: where they start and what they span.
+
+    A range holds all rows with a key between its ends, or, where the ends are
+    one key, all rows of that key with a tie between its ends.
+    """
 
     start: int
     count: int
@@ -44,29 +52,27 @@ class _Range:
     def single_value(self) -> bool:
         return self.low == self.high
 
+    @property
+    def varying(self) -> tuple[str, float | int, float | int]:
+        """The column that varies inside the range, key before tie, and its ends."""
+        i = 0 if self.low[0] != self.high[0] else 1
+        return ("_key", "_tie")[i], self.low[i], self.high[i]
 
-def _bucket_columns(ranges: list[_Range], budget: int, floating: bool) -> list[dict]:
-    """How each range is cut into equal-width buckets: on its key while the key
-    still varies, on the tie column once it does not."""
-    per_range = max(16, budget // len(ranges))
-    out = []
-    for number, r in enumerate(ranges):
-        on_key = r.low[0] != r.high[0]
-        low, high = (r.low[0], r.high[0]) if on_key else (r.low[1], r.high[1])
-        if on_key and floating:
-            width = (high - low) / per_range or (high - low)
-            out.append(dict(_range=number, _on_key=True, _low=float(low), _width=width, _low_n=0, _width_n=1))
-        else:
-            width = -(-(high - low + 1) // per_range)
-            out.append(dict(_range=number, _on_key=on_key, _low=0.0, _width=1.0, _low_n=int(low), _width_n=int(width)))
-    return out
+    def contains(self) -> Column:
+        column, low, high = self.varying
+        inside = F.col(column).between(F.lit(low), F.lit(high))
+        return inside if column == "_key" else inside & (F.col("_key") == F.lit(self.low[0]))
 
+    def width(self, buckets: int) -> float | int:
+        _, low, high = self.varying
+        if isinstance(low, float):
+            return (high - low) / buckets or (high - low)
+        return -(-(high - low + 1) // buckets)
 
-def _bucket(floating: bool) -> Column:
-    if floating:
-        on_key = F.floor((F.col("_key") - F.col("_low")) / F.col("_width"))
-        return F.when(F.col("_on_key"), on_key).otherwise(F.expr("(_tie - _low_n) div _width_n"))
-    return F.expr("(if(_on_key, _key, _tie) - _low_n) div _width_n")
+    def bucket(self, buckets: int) -> Column:
+        """Equal-width buckets of the varying column; they never mix its order up."""
+        column, low, _ = self.varying
+        return F.floor((F.col(column) - F.lit(low)) / F.lit(self.width(buckets))).cast("long")
 
 
 def _small_table(df: DataFrame, rows: list[dict], schema: str) -> DataFrame:
@@ -78,9 +84,6 @@ def _small_table(df: DataFrame, rows: list[dict], schema: str) -> DataFrame:
     return arrow.select(*[F.col(name).cast(kind) for name, kind in columns])
 
 
-_CUT_SCHEMA = "_range int, _on_key boolean, _low double, _width double, _low_n bigint, _width_n bigint"
-
-
 def order_statistics(
     df: DataFrame,
     key: str,
@@ -128,63 +131,79 @@ def _search(
 
     found: dict[int, Position] = {}
     ranges = [_Range(0, total.n, (total.k0, total.t0), (total.k1, total.t1), positions)]
-    rows = narrow.withColumn("_range", F.lit(0))
+    rows = narrow.withColumn("_start", F.lit(0).cast("long"))
     while True:
         for r in ranges:
             if r.single_value:
                 found.update(dict.fromkeys(r.wanted, r.low))
-        open_rows = sum(r.count for r in ranges if not r.single_value)
-        if open_rows <= fetch_rows:
-            if open_rows:
-                found |= _fetch(rows, ranges)
-            break
-        rows = _attach(rows, _bucket_columns(ranges, buckets, floating), ["_range"], _CUT_SCHEMA)
-        rows = rows.select("_range", "_key", "_tie", _bucket(floating).alias("_bucket"))
-        histogram = sorted(rows.groupBy("_range", "_bucket").agg(*spans).collect())
-        ranges, keep = _narrow(ranges, histogram)
-        rows = _attach(rows, keep, ["_range", "_bucket"], "_range int, _bucket bigint, _next int")
-        rows = rows.select(F.col("_next").alias("_range"), "_key", "_tie")
-    return total.n, found
-
-
-def _attach(rows: DataFrame, small: list[dict], keys: list[str], schema: str) -> DataFrame:
-    """Inner join with rows known on the driver; a few of them become literals."""
-    if len(small) > 32:
-        return rows.join(F.broadcast(_small_table(rows, small, schema)), keys)
-    kinds = dict(part.split() for part in schema.split(", "))
-    choice = None
-    for entry in small:
-        here = reduce(Column.__and__, [F.col(k) == entry[k] for k in keys])
-        values = F.struct(*[F.lit(entry[c]).cast(kinds[c]).alias(c) for c in kinds if c not in keys])
-        choice = F.when(here, values) if choice is None else choice.when(here, values)
-    return rows.withColumn("_entry", choice).where(F.col("_entry").isNotNull()).select("*", "_entry.*").drop("_entry")
+        if all(r.single_value for r in ranges):
+            return total.n, found
+        if sum(r.count for r in ranges if not r.single_value) <= fetch_rows:
+            return total.n, found | _fetch(narrow, rows, [r for r in ranges if not r.single_value])
+        rows = _bucketed(narrow, rows, ranges, max(16, buckets // len(ranges)))
+        histogram = sorted(rows.groupBy("_start", "_bucket").agg(*spans).collect())
+        ranges, kept = _narrow(ranges, histogram)
+        if len(ranges) > _LITERAL_RANGES:
+            table = _small_table(rows, kept, "_start bigint, _bucket bigint, _next bigint")
+            rows = rows.join(F.broadcast(table), ["_start", "_bucket"]).select(
+                F.col("_next").alias("_start"), "_key", "_tie"
+            )
+
+
+def _one_of(ranges: list[_Range], value: Callable[[_Range], Column]) -> Column:
+    return reduce(lambda chain, r: chain.when(r.contains(), value(r)), ranges, F)
+
+
+def _bucketed(narrow: DataFrame, rows: DataFrame, ranges: list[_Range], buckets: int) -> DataFrame:
+    """Rows of the ranges with the start of their range and their bucket in it."""
+    if len(ranges) <= _LITERAL_RANGES:
+        return narrow.select(
+            _one_of(ranges, lambda r: F.lit(r.start).cast("long")).alias("_start"),
+            _one_of(ranges, lambda r: r.bucket(buckets)).alias("_bucket"), "_key", "_tie",
+        ).where(F.col("_start").isNotNull())
+    cuts = [
+        dict(_start=r.start, _by_key=r.varying[0] == "_key", _low=r.varying[1], _low_tie=int(r.low[1]), _width=r.width(buckets))
+        for r in ranges
+    ]
+    keys = "double" if isinstance(ranges[0].low[0], float) else "bigint"
+    for cut in cuts:
+        cut["_width_tie"] = 1 if cut["_by_key"] else int(cut["_width"])
+        if not cut["_by_key"]:
+            cut["_low"], cut["_width"] = type(ranges[0].low[0])(0), type(ranges[0].low[0])(1)
+    table = _small_table(
+        rows, cuts, f"_start bigint, _by_key boolean, _low {keys}, _width {keys}, _low_tie bigint, _width_tie bigint"
+    )
+    by_key = F.floor((F.col("_key") - F.col("_low")) / F.col("_width")).cast("long")
+    by_tie = F.floor((F.col("_tie") - F.col("_low_tie")) / F.col("_width_tie")).cast("long")
+    return rows.join(F.broadcast(table), "_start").select(
+        "_start", F.when(F.col("_by_key"), by_key).otherwise(by_tie).alias("_bucket"), "_key", "_tie"
+    )
 
 
 def _narrow(ranges: list[_Range], histogram: list) -> tuple[list[_Range], list[dict]]:
     """The buckets that hold a wanted position become the next ranges."""
-    narrowed, keep = [], []
-    by_range = itertools.groupby(histogram, key=lambda h: h["_range"])
-    for number, hist in by_range:
-        start, wanted = ranges[number].start, list(ranges[number].wanted)
+    narrowed, kept = [], []
+    wanted_in = {r.start: r.wanted for r in ranges}
+    for start, hist in itertools.groupby(histogram, key=lambda h: h["_start"]):
+        first = start
         for h in hist:
-            inside = [p for p in wanted if start <= p < start + h.n]
+            inside = [p for p in wanted_in[start] if first <= p < first + h.n]
             if inside:
-                keep.append(dict(_range=number, _bucket=h["_bucket"], _next=len(narrowed)))
-                narrowed.append(_Range(start, h.n, (h.k0, h.t0), (h.k1, h.t1), inside))
-            start += h.n
-    return narrowed, keep
+                kept.append(dict(_start=start, _bucket=h["_bucket"], _next=first))
+                narrowed.append(_Range(first, h.n, (h.k0, h.t0), (h.k1, h.t1), inside))
+            first += h.n
+    return narrowed, kept
 
 
-def _fetch(rows: DataFrame, ranges: list[_Range]) -> dict[int, Position]:
+def _fetch(narrow: DataFrame, rows: DataFrame, ranges: list[_Range]) -> dict[int, Position]:
     """Number the few remaining rows and bring back only the wanted ones."""
-    unknown = {number: r for number, r in enumerate(ranges) if not r.single_value}
-    pairs = [
-        dict(_range=number, _row=p - r.start, _position=p) for number, r in unknown.items() for p in r.wanted
-    ]
-    order = Window.partitionBy("_range").orderBy("_key", "_tie")
-    few = rows.where(F.col("_range").isin(list(unknown)))
-    numbered = few.withColumn("_row", F.row_number().over(order).cast("long") - 1)
-    picked = _attach(numbered, pairs, ["_range", "_row"], "_range int, _row bigint, _position bigint").collect()
+    if len(ranges) <= _LITERAL_RANGES:
+        rows = narrow.withColumn("_start", _one_of(ranges, lambda r: F.lit(r.start).cast("long")))
+    few = rows.where(F.col("_start").isin([r.start for r in ranges]))
+    order = Window.partitionBy("_start").orderBy("_key", "_tie")
+    placed = few.withColumn("_position", F.col("_start") + F.row_number().over(order) - 1)
+    wanted = [p for r in ranges for p in r.wanted]
+    picked = placed.where(F.col("_position").isin(wanted)).select("_position", "_key", "_tie").collect()
     return {row["_position"]: (row["_key"], row["_tie"]) for row in picked}
 
 
