@@ -52,8 +52,9 @@ def _cut_hot_keys(rows: DataFrame, hot: DataFrame, key: str, hot_rows: int) -> D
     flagged = lookup_join(rows, hot.withColumn("_hot", F.lit(True)), [key], table_rows=0)
     hot_only = flagged.where(F.col("_hot"))
     pieces = max(2, min(8192, 2 * hot_only.count() // hot_rows))
+    shares = ", ".join(f"{i / pieces!r}D" for i in range(1, pieces))
     cuts = hot_only.agg(
-        F.percentile_approx(TIME, [i / pieces for i in range(1, pieces)], max(10_000, 4 * pieces)).alias("c")
+        F.expr(f"percentile_approx({TIME}, array({shares}), {max(10_000, 4 * pieces)})").alias("c")
     ).first().c
     crowded = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     edges = sorted({*cuts, *crowded, *[t + 1 for t in crowded]})

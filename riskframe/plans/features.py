@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from riskframe.schema import (
     TIME, numeric_family_columns,
 )
 
-# Frames with more columns than this take their history by a join on the id.
+# Frames with more columns than this are not shuffled by key; see ``_beside``.
 WIDE_COLUMNS = 64
 
 
@@ -60,16 +60,32 @@ def row_features(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def with_history(rows: DataFrame, unique_ids: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the times since the previous transaction.
+def _beside(rows: DataFrame, keys: Sequence[str], step: Callable[[DataFrame], DataFrame], unique_ids: bool) -> DataFrame:
+    """Add the columns of ``step``, which reads the id and ``keys`` only.
 
-    A wide frame whose ids are known to be unique is not sorted whole: the
-    history is computed on its four key columns and joined back by id.
+    A wide frame whose ids are known to be unique is neither sorted nor shuffled
+    by key: the step runs on its few key columns and is joined back by id.
     """
     if not unique_ids or len(rows.columns) <= WIDE_COLUMNS:
-        return time_since_previous(rows, HISTORY_KEYS, hot_rows)
-    narrow = time_since_previous(rows.select(ID, TIME, "card1", "addr1"), HISTORY_KEYS, hot_rows)
-    return rows.join(narrow.select(ID, *HISTORY_KEYS).hint("shuffle_hash"), ID, "left")
+        return step(rows)
+    narrow = step(rows.select(ID, *keys))
+    return rows.join(narrow.drop(*keys).hint("shuffle_hash"), ID, "left")
+
+
+def with_history(rows: DataFrame, unique_ids: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add the times since the previous transaction."""
+    keys = [TIME, "card1", "addr1"]
+    return _beside(rows, keys, lambda r: time_since_previous(r, HISTORY_KEYS, hot_rows), unique_ids)
+
+
+def with_encodings(
+    rows: DataFrame, fitted: Encodings, unique_ids: bool = False, broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add the fitted counts and means; rows only move for maps too big to broadcast."""
+    keys = ["amt_log", "card1", "addr1", "P_emaildomain", "start_day"]
+    moves = max(fitted.n_rows.values()) > broadcast_rows
+    return _beside(rows, keys, lambda r: apply_encodings(r, fitted, broadcast_rows, hot_rows), unique_ids and moves)
 
 
 def without_history(rows: DataFrame) -> DataFrame:
@@ -101,7 +117,7 @@ def build_features(
     rows = row_features(df, carry)
     rows = with_history(rows, unique_ids, hot_rows) if history else without_history(rows)
     fitted = fitted or fit_encodings(row_features(df))
-    return finish(apply_encodings(rows, fitted, broadcast_rows, hot_rows))
+    return finish(with_encodings(rows, fitted, unique_ids, broadcast_rows, hot_rows))
 
 
 def feature_columns(features: DataFrame) -> list[str]:

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import review_flag
-from riskframe.operators.encode import Encodings, apply_encodings, fit_encodings, load_encodings
+from riskframe.operators.encode import Encodings, fit_encodings, load_encodings
 from riskframe.operators.ranking import fit_review_policy
 from riskframe.operators.split import TimeSplit, fit_time_split, positive_weight
 from riskframe.plans.features import (
-    align, build_features, default_id, feature_columns, finish, row_features, with_history,
+    align, build_features, default_id, feature_columns, finish, row_features, with_encodings, with_history,
 )
 from riskframe.schema import ID, IMPORTANCE_ROWS, LABEL, SEED
 from riskframe.session import fresh_path, materialise
@@ -232,7 +232,7 @@ def train(
     split = fit_time_split(transactions)
     base = feature_table(transactions, split, unique_ids)
     encodings = fit_encodings(base.where(F.col("split") == "train"), f"{path}/maps")
-    features = finish(apply_encodings(base, encodings))
+    features = finish(with_encodings(base, encodings, unique_ids))
 
     inputs = fit_inputs(features.where(F.col("split") == "train"), categories)
     fitting = features.where(F.col("split") != "holdout")

@@ -59,12 +59,14 @@ def test_absent_columns(spark):
     assert tuple(aligned) == (1, None, 1.0)
 
 
-def test_wide_frames_join_their_history_back(spark, monkeypatch):
+def test_wide_frames_take_key_features_by_id(spark, monkeypatch):
     rows = [row(TransactionID=i, TransactionDT=i * 10 % 70, card1=i % 4, addr1=None if i % 3 else 1.0) for i in range(40)]
-    base = feat.row_features(frame(spark, *rows))
+    df = frame(spark, *rows)
+    plain = feat.build_features(df)
     monkeypatch.setattr(feat, "WIDE_COLUMNS", 1)
-    narrow, plain = feat.with_history(base, unique_ids=True), feat.with_history(base)
-    assert narrow.select(plain.columns).exceptAll(plain).isEmpty() and narrow.count() == 40
+    for options in ({}, {"broadcast_rows": 0, "hot_rows": 5}):
+        wide = feat.build_features(df, unique_ids=True, **options)
+        assert wide.count() == 40 and wide.select(plain.columns).exceptAll(plain).isEmpty()
 
 
 def test_validation(spark):
