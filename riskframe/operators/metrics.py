@@ -45,6 +45,7 @@ def ranking_areas(
     )
     splits = [float("-inf"), *_range_edges(rows, range_rows), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(rows)
+    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     per_score = ranged.groupBy("_range", "_score").agg(F.sum("_y").alias("pos"), F.count("*").alias("cnt"))
 
     above = Window.orderBy(F.desc("_range"))

@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 from riskframe.sources.tables import nulls_for_nan
 
-_ORIGIN = "timestamp_ntz'2024-01-01 00:00:00'"
+
+def _seconds_since(origin: str, column: str) -> str:
+    """Whole seconds between two local times; no session time zone is involved."""
+    return f"cast(cast({column} - timestamp_ntz'{origin} 00:00:00' AS interval second) AS bigint)"
+
 
 _COLUMNS = [
     "event_id AS TransactionID",
     "CASE WHEN event_type = 'error' AND value > 80 OR event_id % 97 = 0 THEN 1 ELSE 0 END AS isFraud",
-    f"timestampdiff(SECOND, {_ORIGIN}, ts) + 86400 AS TransactionDT",
+    _seconds_since("2024-01-01", "ts") + " + 86400 AS TransactionDT",
     "CASE WHEN event_id % 53 <> 0 THEN value END AS TransactionAmt",
     "event_type AS ProductCD",
     "user_id AS card1",
@@ -66,7 +70,7 @@ def order_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as transactions: about 60 share each time."""
     return spark.read.parquet(f"{folder}/orders.parquet").selectExpr(
         "o_orderkey AS TransactionID",
-        "timestampdiff(SECOND, timestamp_ntz'1990-01-01 00:00:00', o_orderdate) AS TransactionDT",
+        _seconds_since("1990-01-01", "o_orderdate") + " AS TransactionDT",
         "o_custkey AS card1",
         "o_orderpriority AS addr1",
         "o_totalprice AS TransactionAmt",
