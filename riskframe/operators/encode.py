@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from riskframe.functions.columns import key_text, ratio_to_mean
 from riskframe.operators.positions import number_rows
 from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
 from riskframe.schema import ACCOUNT_KEYS, FREQUENCY_KEYS, GROUP_KEYS
-from riskframe.session import fresh_path, materialise
+from riskframe.session import fresh_path, materialise, together
 
 _SUMS = ["n", "n_amt", "sum_amt"]
 # The finest key sets; every other map is a sum over one of them.
@@ -88,8 +89,10 @@ def fit_encodings(train: DataFrame, path: str | None = None) -> Encodings:
     e-mail.  The coarser maps are sums of those two tables.
     """
     path = path or fresh_path(train.sparkSession, "encodings")
-    for name, keys in _BASES.items():
-        _sums(train, keys).write.mode("overwrite").parquet(f"{path}/{name}")
+    def write(name: str) -> None:
+        _sums(train, _BASES[name]).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    together(*[partial(write, name) for name in _BASES])
     return load_encodings(train.sparkSession, path)
 
 
@@ -99,16 +102,20 @@ def load_encodings(spark: SparkSession, path: str, broadcast_rows: int = BROADCA
     While a base table is small enough to broadcast, its size bounds the size of
     every coarser map.  Beyond that the coarser maps are written once and counted.
     """
-    base = {name: spark.read.parquet(f"{path}/{name}") for name in _BASES}
-    size = {name: table.count() for name, table in base.items()}
+    def read(name: str) -> tuple[DataFrame, int]:
+        table = spark.read.parquet(f"{path}/{name}")
+        return table, table.count()
+
+    stored = dict(zip(_BASES, together(*[partial(read, name) for name in _BASES])))
 
     def sums(keys: Sequence[str]) -> tuple[DataFrame, int]:
         name = next(n for n, of in _BASES.items() if set(keys) <= set(of))
         if set(keys) == set(_BASES[name]):
-            return base[name], size[name]
-        coarser = _rollup(base[name], keys)
-        if size[name] <= broadcast_rows:
-            return coarser, size[name]
+            return stored[name]
+        base, size = stored[name]
+        coarser = _rollup(base, keys)
+        if size <= broadcast_rows:
+            return coarser, size
         written = materialise(coarser, "map")
         return written, written.count()
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.ranking import calibration_table, review_queue
 from riskframe.schema import LABEL
+from riskframe.session import together
 
 # Distinct scores one task runs over; longer score columns get more ranges.
 RANGE_ROWS = 4_000_000
@@ -129,7 +130,11 @@ def evaluate(
     scored: DataFrame, policy: dict, importance: DataFrame | None = None, score: str = "score", label: str = LABEL
 ) -> DataFrame:
     """The whole evaluation record of scored rows, as one row."""
-    areas = ranking_areas(scored, score, label).select("roc_auc", F.col("average_precision").alias("pr_auc"))
+    areas, queue, bins = together(
+        lambda: ranking_areas(scored, score, label),
+        lambda: review_queue(scored, score, label),
+        lambda: calibration_table(scored, score, label),
+    )
     size = scored.agg(
         F.count("*").alias("holdout_n"),
         F.sum(F.col(label).cast("long")).alias("holdout_positive_count"),
@@ -138,11 +143,11 @@ def evaluate(
     realised = review_policy_metrics(scored, policy, score, label)
     parts = [
         size,
-        areas,
+        areas.select("roc_auc", F.col("average_precision").alias("pr_auc")),
         brier_score(scored, score, label),
-        rows_as_array(review_queue(scored, score, label), "top_fraction", "review_queue"),
+        rows_as_array(queue, "top_fraction", "review_queue"),
         realised.select(F.struct(*realised.columns).alias("review_policy")),
-        rows_as_array(calibration_table(scored, score, label), "bin", "calibration_table"),
+        rows_as_array(bins, "bin", "calibration_table"),
     ]
     if importance is not None:
         parts.append(rows_as_array(importance, "rank", "top_feature_importance"))

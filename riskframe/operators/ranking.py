@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.positions import at_or_before, evenly_spaced, order_statistics, pick_positions
 from riskframe.schema import (
-    AMOUNT, CALIBRATION_BINS, CHECK_POSITIVES, CHECK_ROWS, EXAMPLE_ROWS, ID, LABEL, POLICY_FRACTION,
+    CALIBRATION_BINS, CHECK_POSITIVES, CHECK_ROWS, EXAMPLE_ROWS, ID, LABEL, POLICY_FRACTION,
     REVIEW_FRACTIONS, TIME, VERIFICATION_ROWS,
 )
+from riskframe.session import together
 
 
 def top_size(n: int, fraction: float) -> int:
@@ -95,11 +96,11 @@ def stratified_sample(
     rows: DataFrame, label: str = LABEL, n_rows: int = CHECK_ROWS, n_positive: int = CHECK_POSITIVES
 ) -> DataFrame:
     """A fixed set of rows, evenly spaced in time within each label."""
-    parts = [
-        pick_positions(rows.where(F.col(label) == value), TIME, ID, lambda n, k=k: evenly_spaced(n, k))
-        for value, k in [(1, n_positive), (0, n_rows - n_positive)]
-    ]
-    return parts[0].unionByName(parts[1]).drop("position_no")
+    def pick(value: int, k: int) -> DataFrame:
+        return pick_positions(rows.where(F.col(label) == value), TIME, ID, lambda n: evenly_spaced(n, k))
+
+    positive, negative = together(lambda: pick(1, n_positive), lambda: pick(0, n_rows - n_positive))
+    return positive.unionByName(negative).drop("position_no")
 
 
 def first_in_time(rows: DataFrame, n: int = VERIFICATION_ROWS) -> DataFrame:
@@ -109,8 +110,10 @@ def first_in_time(rows: DataFrame, n: int = VERIFICATION_ROWS) -> DataFrame:
 
 def top_overlap(rows: DataFrame, first: str, second: str, fraction: float = POLICY_FRACTION) -> DataFrame:
     """Share of the top rows by one score that are top rows by the other too."""
-    n, a = order_statistics(rows, first, ID, lambda n: [top_size(n, fraction) - 1], descending=True)
-    _, b = order_statistics(rows, second, ID, lambda n: [top_size(n, fraction) - 1], descending=True)
+    def last_of(score: str):
+        return order_statistics(rows, score, ID, lambda n: [top_size(n, fraction) - 1], descending=True)
+
+    (n, a), (_, b) = together(lambda: last_of(first), lambda: last_of(second))
     k = top_size(n, fraction)
     in_both = at_or_before(first, ID, a[k - 1], descending=True) & at_or_before(second, ID, b[k - 1], descending=True)
     return rows.agg(F.count(F.when(in_both, 1)).alias("n_both")).select(

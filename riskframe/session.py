@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
@@ -41,6 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder.setdefault(app, tempfile.mkdtemp(prefix="riskframe-"))
 
 
+def together(*jobs: Callable):
+    """Results of independent jobs, submitted to the scheduler at the same time."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/riskframe/{name}-{uuid.uuid4().hex}"
 

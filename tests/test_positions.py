@@ -27,6 +27,18 @@ def test_every_position_with_a_third_of_rows_on_one_key(spark, kind, descending)
     assert at == {p: want[p] for p in range(0, 600, 37)}
 
 
+def test_many_positions_over_several_levels(spark):
+    rng = random.Random(2)
+    rows = [((9 if i % 3 == 0 else rng.randrange(0, 10_000)), i) for i in range(2000)]
+    for kind in ("bigint", "double"):
+        typed = [(float(k) if kind == "double" else k, i) for k, i in rows]
+        _, at = order_statistics(
+            frame(spark, typed, kind), "k", "id", lambda n: range(0, n, 20), True, buckets=256, fetch_rows=60
+        )
+        want = expected(typed, True)
+        assert at == {p: want[p] for p in range(0, 2000, 20)}
+
+
 def test_far_apart_keys_need_several_levels(spark):
     rows = [(10**15 if i == 0 else i % 5, i) for i in range(300)]
     _, at = order_statistics(frame(spark, rows), "k", "id", lambda n: [0, 150, n - 1], buckets=16, fetch_rows=5)
