@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.skew import HOT_ROWS, hot_keys, lookup_join
 from riskframe.schema import HISTORY_KEYS, ID, TIME
+from riskframe.session import materialise
 
 
 def time_since_previous(
@@ -34,7 +35,7 @@ def time_since_previous(
     chunked = _cut_hot_keys(rows, hot, lead.pop(), hot_rows)
     out = chunked
     for name, keys in groups.items():
-        carried = _last_before(chunked.where(F.col("_chunk") > 0), keys)
+        carried = materialise(_last_before(chunked.where(F.col("_chunk") > 0), keys), "carried")
         out = lookup_join(out, carried, [*keys, "_chunk", "_part"])
         gap = F.coalesce(_gap(keys, ["_chunk", "_part"]), (F.col(TIME) - F.col("_carried")).cast("float"))
         out = out.withColumn(name, gap).drop("_carried")
