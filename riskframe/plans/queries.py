@@ -16,7 +16,8 @@ from riskframe.plans import features as feat
 from riskframe.plans import model as ml
 from riskframe.plans import report
 from riskframe.schema import (
-    CATEGORICAL_COLUMNS, HISTORY_KEYS, ID, LABEL, POLICY_FRACTION, REQUIRED_FIELDS, TIME, numeric_family_columns, transaction_schema,
+    CATEGORICAL_COLUMNS, HISTORY_KEYS, ID, LABEL, POLICY_FRACTION, REQUIRED_FIELDS, TIME,
+    numeric_family_columns, transaction_schema,
 )
 from riskframe.session import fresh_path, materialise
 from riskframe.sources import tables, views
