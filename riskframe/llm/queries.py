@@ -3,25 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskframe.llm import exact_dedup, simhash
+from riskframe.llm import byte_bpe, exact_dedup, packed_rows, packing, simhash, topk
+from riskframe.llm.vocabulary import vocabulary
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"))
+
+
+def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_rows.packed_rows(_read(spark, sf_dir, "documents"), vocabulary(spark, "word_bpe_49k.json"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_read(spark, sf_dir, "documents")).drop("kept", "text_hash")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), vocabulary(spark, "word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup, op9_exact_dedup)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(spark, "byte_bpe_multi_50k.tiktoken")
+    rows = byte_bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"), "ids", "offsets")
+    rows = byte_bpe.decode(rows, path)
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_top_k, op3_token_id_output, op6_simhash_near_dedup, op7_best_fit_packing, op9_exact_dedup, op10_byte_bpe)}
 
 SQL = {
+    "op1_exact_top_k": """
+        with v as (
+            select vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::double)::bigint)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            group by vec_id),
+        s as (
+            select q.vec_id as query_id, c.vec_id as vec_id,
+                   list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+            from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+        select query_id, rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+        where rank <= 10
+    """,
     "op9_exact_dedup": r"""
         with t as (select doc_id, coalesce(text, '') as body from documents),
         n as (select doc_id, length(body) as points, regexp_replace(body, '[\x20\x09-\x0D]', '', 'g') as normal from t)
