@@ -10,7 +10,9 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Rounds of pricing, the share of the remaining demand that a round may use up, and how strongly covered lengths cheapen.
-ROUNDS, STEP, RATE = 600, 0.75, 2.0
+ROUNDS, STEP, RATE = 600, 0.75, 0.3
+#: First weights are (length / capacity) to this power: long pieces are worth more than their share, as they fit worse.
+POWER = 1.3
 
 
 @dataclass
@@ -57,7 +59,7 @@ def best_filling(price: np.ndarray, capacity: int) -> dict[int, int]:
 def fractional(counts: np.ndarray, capacity: int) -> list[tuple[float, dict[int, int]]]:
     """Configurations and how often each is used, in fractions; together they cover no length more than wanted.
 
-    Each length has a weight: its share of a sequence, lowered exponentially as it is covered. A round prices the best
+    Each length has a weight, lowered exponentially as it is covered. A round prices the best
     configuration under the weights by a knapsack dynamic program and uses it for part of what is left of its lengths.
     """
     left = counts.astype(float)
@@ -68,7 +70,7 @@ def fractional(counts: np.ndarray, capacity: int) -> list[tuple[float, dict[int,
         if not open_.any() or left @ lengths < 1:
             break
         covered = 1 - left / np.maximum(counts, 1)
-        price = np.where(open_, lengths * np.exp(-RATE * (covered - covered[open_].mean()) / 10), -np.inf)
+        price = np.where(open_, lengths ** POWER * np.exp(-RATE * (covered - covered[open_].mean())), -np.inf)
         filling = {l: n for l, n in best_filling(price, capacity).items() if open_[l]}
         times = min(left[l] / n for l, n in filling.items())
         times = times if times < 2 else times * STEP
