@@ -137,8 +137,9 @@ class Merger:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ids[at], self.NONE)
 
-    def __call__(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        out = [(self.ranks[w],) if w in self.ranks else None for w in words]
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as little-endian int32."""
+        out = [_packed([self.ranks[w]]) if w in self.ranks else None for w in words]
         by_width: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             if out[i] is None:
@@ -150,7 +151,7 @@ class Merger:
                 out[i] = ids
         return out
 
-    def _together(self, words: list[bytes], width: int) -> list[tuple[int, ...]]:
+    def _together(self, words: list[bytes], width: int) -> list[bytes]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width).astype(np.int64)
         places = np.arange(width)
@@ -177,11 +178,15 @@ class Merger:
             ranked[one, before] = np.where(at > 0, self._rank(rows[one, before], rows[one, at]), ranked[one, before])
             ranked[:, -1] = np.where(at == width - 1, self.NONE, ranked[:, -1])
             rank[live] = ranked
-        left = (ids >= 0).sum(axis=1).tolist()
-        return [tuple(row[:n]) for row, n in zip(ids.tolist(), left)]
+        many, flat = (ids >= 0).sum(axis=1).tolist(), ids.astype("<i4").tobytes()
+        return [flat[at:at + 4 * n] for at, n in zip(range(0, len(flat), 4 * width), many)]
 
 
-def _merge_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> bytes:
     """A long pre-token, with a heap over a linked list, so that its cost stays near linear."""
     from heapq import heapify, heappop, heappush
 
@@ -204,16 +209,18 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     while at < n:
         ids.append(ranks[word[at:ends[at]]])
         at = ends[at]
-    return tuple(ids)
+    return _packed(ids)
 
 
 class Cache:
-    """Ids by pre-token; what a generation of CACHED entries has not met again is forgotten."""
+    """Ids (little-endian int32) by pre-token; what a generation of CACHED entries has not met again is forgotten."""
 
-    def __init__(self, merger: Callable[[list[bytes]], list[tuple[int, ...]]]):
-        self.merger, self.new, self.old = merger, {}, {}
+    def __init__(self, merger: Callable[[list[bytes]], list[bytes]]):
+        self.merger = merger
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def fill(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    def fill(self, words: Iterable[str]) -> dict[str, bytes]:
         """A dictionary that has all the words."""
         if len(self.new) > CACHED:
             self.new, self.old = {}, self.new
@@ -254,9 +261,9 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
         def step(texts):
             words = pre_tokens([t or "" for t in texts])
             merged = cached.fill(chain.from_iterable(words))
-            ids = [list(chain.from_iterable(map(merged.__getitem__, w))) for w in words]
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
-            cuts = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+            ids = [b"".join(map(merged.__getitem__, w)) for w in words]
+            flat = np.frombuffer(b"".join(ids), "<i4")
+            cuts = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
             ends = np.concatenate([[0], np.cumsum(lengths[flat])])
             starts = ends[cuts[:-1]]
             own = np.repeat(np.arange(len(ids)), np.diff(cuts) + 1)  # one offset more than ids

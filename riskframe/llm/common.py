@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes that one step of a Python worker handles at once (a longer text is a step of its own).
-STEP_BYTES = 4_000_000
+STEP_BYTES = 2_000_000
 #: Rows up to which a narrow table is broadcast; beyond it the same join is shuffled.
 BROADCAST_ROWS = 200_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, exact_dedup, packed_rows, packing, simhash, topk
+from riskframe.llm import byte_bpe, exact_dedup, language, packed_rows, packing, simhash, topk, toxicity
 from riskframe.llm.vocabulary import vocabulary
 
 
@@ -17,10 +17,18 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_rows.packed_rows(_read(spark, sf_dir, "documents"), vocabulary(spark, "word_bpe_49k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_read(spark, sf_dir, "documents"), vocabulary(spark, "piece_bpe_32k.model"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_read(spark, sf_dir, "documents")).drop("kept", "text_hash")
 
@@ -43,7 +51,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_top_k, op3_token_id_output, op6_simhash_near_dedup, op7_best_fit_packing, op9_exact_dedup, op10_byte_bpe)}
+    op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op6_simhash_near_dedup, op7_best_fit_packing,
+    op9_exact_dedup, op10_byte_bpe)}
 
 SQL = {
     "op1_exact_top_k": """
