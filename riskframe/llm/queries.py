@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, exact_dedup, language, packed_rows, packing, simhash, topk, toxicity
+from riskframe.llm import (
+    byte_bpe, exact_dedup, language, line_dedup, packed_rows, packing, quality, simhash, topk, toxicity)
 from riskframe.llm.vocabulary import vocabulary
 
 
@@ -29,6 +30,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents"), vocabulary(spark, "piece_bpe_32k.model"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_read(spark, sf_dir, "documents")).drop("kept", "text_hash")
 
@@ -37,6 +42,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), vocabulary(spark, "word_bpe_49k.json"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -51,8 +60,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op6_simhash_near_dedup, op7_best_fit_packing,
-    op9_exact_dedup, op10_byte_bpe)}
+    op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op5_quality_classifier,
+    op6_simhash_near_dedup, op7_best_fit_packing, op8_line_dedup, op9_exact_dedup, op10_byte_bpe)}
 
 SQL = {
     "op1_exact_top_k": """
