@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,3 +70,20 @@ def ratio_to_mean(amount: Column, mean: Column) -> Column:
 
 def review_flag(score: Column, threshold: float) -> Column:
     return score >= F.lit(float(threshold))
+
+
+def report_round(value: Column, digits: int) -> Column:
+    """Figures in reports: half up at this many digits."""
+    return F.round(value, digits)
+
+
+def exact_mean(value: Column, digits: int = 6) -> Column:
+    """Mean of non-negative values, rounded half up.
+
+    Values are summed as whole multiples of 1e-12, so the order of the rows does not matter.
+    """
+    unit, scale = Decimal(10 ** 12), Decimal(10 ** digits)
+    total = F.sum(F.round(value.cast("double") * float(unit)).cast("decimal(28,0)"))
+    n = F.count(value).cast("decimal(20,0)")
+    above, below = total * F.lit(2 * scale) + n * F.lit(unit), n * F.lit(2 * unit)
+    return ((above - above % below) / F.nullif(below, F.lit(Decimal(0)))).cast("double") / float(scale)

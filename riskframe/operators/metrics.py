@@ -8,6 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.functions.columns import exact_mean
 from riskframe.operators.ranking import calibration_table, review_queue
 from riskframe.schema import LABEL
 from riskframe.session import together
@@ -83,8 +84,13 @@ def ranking_areas(
 
 
 def brier_score(scored: DataFrame, score: str = "score", label: str = LABEL) -> DataFrame:
+    """Mean squared difference of scores and labels, to 6 digits."""
+    return scored.agg(_brier(score, label))
+
+
+def _brier(score: str, label: str) -> Column:
     miss = F.col(score) - F.col(label)
-    return scored.agg(F.avg(miss * miss).alias("brier_score"))
+    return exact_mean(miss * miss).alias("brier_score")
 
 
 def review_policy_metrics(
@@ -122,7 +128,7 @@ def rows_as_array(df: DataFrame, order: str, alias: str) -> DataFrame:
 
 
 def cross(frames: list[DataFrame]) -> DataFrame:
-    """One-row frames side by side."""
+    """One-row frames side by side; each is an aggregate without keys or a choice of one row."""
     return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
 
 
@@ -138,13 +144,13 @@ def evaluate(
     size = scored.agg(
         F.count("*").alias("holdout_n"),
         F.sum(F.col(label).cast("long")).alias("holdout_positive_count"),
-        F.round(F.avg(F.col(label).cast("double")), 6).alias("holdout_positive_rate"),
+        exact_mean(F.col(label)).alias("holdout_positive_rate"),
+        _brier(score, label),
     )
     realised = review_policy_metrics(scored, policy, score, label)
     parts = [
         size,
         areas.select("roc_auc", F.col("average_precision").alias("pr_auc")),
-        brier_score(scored, score, label),
         rows_as_array(queue, "top_fraction", "review_queue"),
         realised.select(F.struct(*realised.columns).alias("review_policy")),
         rows_as_array(bins, "bin", "calibration_table"),

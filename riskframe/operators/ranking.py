@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.columns import exact_mean
 from riskframe.operators.positions import at_or_before, evenly_spaced, order_statistics, pick_positions
 from riskframe.schema import (
     CALIBRATION_BINS, CHECK_POSITIVES, CHECK_ROWS, EXAMPLE_ROWS, ID, LABEL, POLICY_FRACTION,
@@ -25,14 +26,14 @@ def review_queue(
     scored: DataFrame, score: str = "score", label: str = LABEL, fractions: Sequence[float] = REVIEW_FRACTIONS,
     digits: int = 4,
 ) -> DataFrame:
-    """Precision and recall of the highest-scored rows, for each queue size."""
+    """Precision and recall of the highest-scored rows, for each queue size; rows without a score count for nothing."""
     n, at = order_statistics(
         scored, score, ID, lambda n: [top_size(n, f) - 1 for f in fractions] if n else [], descending=True
     )
     if not n:
         raise ValueError("no scored rows")
     sizes = {f: top_size(n, f) for f in fractions}
-    positive = F.col(label) == 1
+    positive = (F.col(label) == 1) & F.col(score).isNotNull()
     sums = scored.agg(
         F.count(F.when(positive, 1)).alias("_positives"),
         *[
@@ -72,8 +73,8 @@ def calibration_table(
             number = F.when(at_or_before(score, ID, at[edges[i] - 1]), i).otherwise(number)
     return scored.where(F.col(score).isNotNull()).groupBy(number.alias("bin")).agg(
         F.count("*").alias("count"),
-        F.round(F.avg(score), 6).alias("mean_predicted"),
-        F.round(F.avg(F.col(label).cast("double")), 6).alias("observed_rate"),
+        exact_mean(F.col(score)).alias("mean_predicted"),
+        exact_mean(F.col(label)).alias("observed_rate"),
     )
 
 
@@ -149,6 +150,8 @@ def fit_review_policy(
     very scores it was fitted on; the exact value is kept beside it.
     """
     n, cutoff = interpolated_percentile(validation, score, 1 - fraction)
+    if cutoff is None:
+        raise ValueError("no scored validation rows to fit a cutoff on")
     return {
         "top_fraction": fraction,
         "fitted_cutoff": round(cutoff, 6),

@@ -34,13 +34,22 @@ def _number(df: DataFrame, name: str) -> Column:
     return C.lenient_double(F.col(name))
 
 
+def as_float(df: DataFrame, name: str) -> Column:
+    """A number as the model stores it."""
+    return _number(df, name).cast("float")
+
+
+def without_label(df: DataFrame) -> DataFrame:
+    return df.drop(LABEL)
+
+
 def row_features(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Features of a row alone, keys still typed.
 
     No feature reads the label.  ``carry`` names columns (the label, the slice)
     that pass through beside the features.
     """
-    present = [c for c in df.columns if c != LABEL]
+    present = without_label(df).columns
     day = C.day_index(F.col(TIME))
     keys = {"card1": "bigint", "addr1": "double", "P_emaildomain": "string"}
     others = [c for c in CATEGORICAL_COLUMNS if c in present and c not in keys]
@@ -50,11 +59,11 @@ def row_features(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         C.hour_of_day(F.col(TIME)).alias("hour_of_day"),
         day.alias("day_index"),
         C.log_amount(_number(df, AMOUNT)).alias("amt_log"),
-        *[_number(df, c).cast("float").alias(c) for c in numeric_family_columns(present)],
+        *[as_float(df, c).alias(c) for c in numeric_family_columns(present)],
         *[C.flag_to_float(F.col(c)).alias(c) for c in FLAG_COLUMNS if c in present],
         *[_or_null(df, c, kind) for c, kind in keys.items()],
         *[F.col(c).cast("string").alias(c) for c in others],
-        *[_number(df, c).cast("float").alias(c) for c in NUMERIC_IDENTITY_COLUMNS if c in present],
+        *[as_float(df, c).alias(c) for c in NUMERIC_IDENTITY_COLUMNS if c in present],
         C.start_day(day, _number(df, "D1")).alias("start_day"),
         *carry,
     )

@@ -57,9 +57,17 @@ def _queue(source: str, score: str) -> str:
   GROUP BY f, k"""
 
 
-_BINS = """
-  SELECT cast(bin AS integer) AS bin, count(*) AS count, round(avg(score), 6) AS mean_predicted,
-    round(avg(cast(isFraud AS double)), 6) AS observed_rate
+def _exact(value: str) -> str:
+    """Mean of whole multiples of 1e-12, rounded half up to 6 digits."""
+    n = f"cast(count({value}) AS hugeint)"
+    total = f"sum(cast(round(({value}) * cast(1e12 AS double)) AS bigint))"
+    return (f"cast((2 * {total} * 1000000 + {n} * 1000000000000) // (2 * {n} * 1000000000000) AS double)"
+            " / cast(1000000 AS double)")
+
+
+_BINS = f"""
+  SELECT cast(bin AS integer) AS bin, count(*) AS count, {_exact('score')} AS mean_predicted,
+    {_exact('isFraud')} AS observed_rate
   FROM (
     SELECT score, isFraud, (SELECT count(*) FROM range(1, 10) e(i) WHERE floor(i * (n / cast(10 AS double))) <= r) + 1 AS bin
     FROM (SELECT score, isFraud, row_number() OVER (ORDER BY score, TransactionID) - 1 AS r, count(*) OVER () AS n FROM held))
@@ -90,8 +98,8 @@ _EVALUATION = f"""
   held AS (SELECT * FROM sliced WHERE split = 'holdout'), {_POLICY},
   realised AS ({_REALISED}), queue AS ({_queue('held', 'score')}), bins AS ({_BINS}), areas AS ({_areas('held', 'score')}),
   size AS (
-    SELECT count(*) AS n, cast(sum(isFraud) AS bigint) AS pos, round(avg(cast(isFraud AS double)), 6) AS rate,
-      round(avg((score - isFraud) * (score - isFraud)), 6) AS brier FROM held)"""
+    SELECT count(*) AS n, cast(sum(isFraud) AS bigint) AS pos, {_exact('isFraud')} AS rate,
+      {_exact('(score - isFraud) * (score - isFraud)')} AS brier FROM held)"""
 
 _METRIC_VALUES = [
     ("holdout_n", "(SELECT n FROM size)"),
@@ -241,7 +249,7 @@ judged AS (
 ORACLES: dict[str, str] = {
     "A1_csv_scan": _tx(_TX),
     "A2_csv_pruned_scan": _tx("TransactionID, isFraud, TransactionDT"),
-    "A3_parquet_scan": "SELECT event_id, user_id, event_type, value FROM events",
+    "A3_parquet_scan": "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events",
     "A4_parquet_sink": with_views(f"SELECT {_TX}, id_01, DeviceType FROM tx LEFT JOIN idn USING (TransactionID)"),
     "A5_fitted_maps_store": _feat(f"""
 SELECT map, key, cnt, cast(NULL AS double) AS mean_amt FROM ({_MAPS})
@@ -373,7 +381,7 @@ FROM sliced""", split="tx"),
     "E7_percentile_cutoff": with_views(f"""+ {_POLICY}
 SELECT n_val AS n, cutoff, (SELECT count(*) FROM sliced WHERE split = 'val' AND score >= exact) AS n_at_or_above
 FROM policy""", split="tx"),
-    "E8_brier_score": with_views("SELECT round(avg((score - isFraud) * (score - isFraud)), 6) AS brier_score FROM tx"),
+    "E8_brier_score": with_views(f"SELECT {_exact('(score - isFraud) * (score - isFraud)')} AS brier_score FROM tx"),
     "F1_time_since_previous": with_views(_lag("tx")),
     "F1_time_since_previous_ties": with_views(_lag("otx")),
     "F2_time_split": with_views("SELECT TransactionID, TransactionDT, split FROM sliced", split="tx"),
@@ -402,8 +410,8 @@ SELECT cast(0.02 AS double) AS top_fraction, cutoff AS fitted_cutoff, 'validatio
 FROM policy""", split="tx"),
     "H4_policy_metrics": _held(f", {_POLICY} {_REALISED}"),
     "H5_score_shift": _held(f""", {_shift()}, a AS ({_areas('held', 'score')}), b AS ({_areas('held', 'masked')})
-SELECT count(*) AS n, round(avg(abs(score - masked)), 6) AS mean_abs_shift, round(max(abs(score - masked)), 6) AS max_abs_shift,
-  round(avg(CASE WHEN abs(score - masked) > cast(0.01 AS double) THEN cast(1 AS double) ELSE 0 END), 6) AS share_shifted,
+SELECT count(*) AS n, {_exact('abs(score - masked)')} AS mean_abs_shift, round(max(abs(score - masked)), 6) AS max_abs_shift,
+  {_exact('CASE WHEN abs(score - masked) > cast(0.01 AS double) THEN cast(1 AS double) ELSE 0 END')} AS share_shifted,
   round(cast(count(*) FILTER (ra <= k AND rb <= k) AS double) / max(k), 6) AS top_overlap,
   round((SELECT roc_auc FROM a), 6) AS first_roc_auc, round((SELECT average_precision FROM a), 6) AS first_pr_auc,
   round((SELECT roc_auc FROM b), 6) AS second_roc_auc, round((SELECT average_precision FROM b), 6) AS second_pr_auc

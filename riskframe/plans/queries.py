@@ -16,7 +16,7 @@ from riskframe.plans import features as feat
 from riskframe.plans import model as ml
 from riskframe.plans import report
 from riskframe.schema import (
-    CATEGORICAL_COLUMNS, HISTORY_KEYS, ID, LABEL, POLICY_FRACTION, REQUIRED_FIELDS, TIME,
+    CATEGORICAL_COLUMNS, CHECK_POSITIVE_FLOOR, CHECK_ROWS, HISTORY_KEYS, ID, LABEL, POLICY_FRACTION, REQUIRED_FIELDS, TIME,
     numeric_family_columns, transaction_schema,
 )
 from riskframe.session import fresh_path, materialise
@@ -83,7 +83,9 @@ def csv_pruned(spark, d):
 
 @query("A3_parquet_scan")
 def parquet_scan(spark, d):
-    return tables.read_parquet(spark, f"{d}/events.parquet", ["event_id", "user_id", "event_type", "value"])
+    """All columns; the time as text, which both engines write alike."""
+    rows = tables.read_parquet(spark, f"{d}/events.parquet")
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query("A4_parquet_sink")
@@ -215,7 +217,7 @@ def missing_rate(spark, d):
 
 @query("B8_selection_checks")
 def selection_checks(spark, d):
-    return quality.selection_checks(ranking.stratified_sample(holdout(spark, d)), 500, 40)
+    return quality.selection_checks(ranking.stratified_sample(holdout(spark, d)), CHECK_ROWS, CHECK_POSITIVE_FLOOR)
 
 
 # --- joins --------------------------------------------------------------------
@@ -280,7 +282,7 @@ def row_query(name: str, build: Callable[[DataFrame], list]) -> None:
 
 @query("D1_drop_label")
 def drop_label(spark, d):
-    return views.transactions(spark, d).drop(LABEL)
+    return feat.without_label(views.transactions(spark, d))
 
 
 @query("D2_strict_cast")
@@ -309,18 +311,22 @@ row_query("D6_clip_at_zero", lambda tx: [C.clip_at_zero(F.col("TransactionAmt")
 row_query("D7_log_amount", lambda tx: [
     F.round(C.log_amount(F.col("TransactionAmt") - 20).cast("double"), 6).alias("amt_log")])
 row_query("D8_numeric_families", lambda tx: [
-    F.col(c).cast("float").cast("double").alias(c) for c in numeric_family_columns(tx.columns)])
+    feat.as_float(tx, c).cast("double").alias(c) for c in numeric_family_columns(tx.columns)])
 row_query("D9_flags", lambda tx: [C.flag_to_float(F.col(c)).cast("double").alias(c) for c in tx.columns if c == "M1"])
-row_query("D10_categories", lambda tx: [
-    F.col(c).cast("string").alias(c) for c in CATEGORICAL_COLUMNS if c in tx.columns])
 row_query("D12_missing_text", lambda tx: [C.key_text(F.col(c)).alias(f"{c}_key") for c in ("addr1", "P_emaildomain")])
 row_query("D13_composite_key", lambda tx: [C.key_text(F.col("card1"), F.col("addr1")).alias("card1_addr1")])
 row_query("D14_account", lambda tx: [
     C.start_day(C.day_index(F.col(TIME)), F.col("D1")).alias("start_day"),
     C.key_text(F.col("card1"), F.col("addr1"), C.start_day(C.day_index(F.col(TIME)), F.col("D1"))).alias("uid")])
 row_query("D16_float_edge", lambda tx: [
-    F.col(c).cast("float").cast("double").alias(c) for c in ("TransactionAmt", "V1", "C1", "D1")])
-row_query("D22_report_rounding", lambda tx: [F.round(F.col("V1") / 7, n).alias(f"v_{n}") for n in (3, 4, 6)])
+    feat.as_float(tx, c).cast("double").alias(c) for c in ("TransactionAmt", "V1", "C1", "D1")])
+row_query("D22_report_rounding", lambda tx: [C.report_round(F.col("V1") / 7, n).alias(f"v_{n}") for n in (3, 4, 6)])
+
+
+@query("D10_categories")
+def categories(spark, d):
+    tx = views.transactions(spark, d)
+    return feat.finish(feat.row_features(tx)).select(ID, *[c for c in CATEGORICAL_COLUMNS if c in tx.columns])
 
 
 @query("D11_numeric_identity")
@@ -380,37 +386,23 @@ def category_code(spark, d):
 @query("E1_frequency_maps")
 def frequency_maps(spark, d):
     _, train = encoded_rows(spark, d)
-    parts = [
-        encode.fit_counts(train, keys).select(
-            F.lit(name).alias("map"), C.key_text(*[F.col(k) for k in keys]).alias("key"), "cnt"
-        )
-        for name, keys in encode.FREQUENCY_KEYS.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    maps = encode.fit_encodings(train).long_table()
+    return maps.where(F.col("map").isin(*encode.FREQUENCY_KEYS)).select("map", "key", "cnt")
 
 
 @query("E2_group_counts")
 def group_counts(spark, d):
     _, train = encoded_rows(spark, d)
-    parts = [
-        encode.fit_group(train, keys).select(
-            F.lit(name).alias("map"), C.key_text(*[F.col(k) for k in keys]).alias("key"), "cnt"
-        )
-        for name, (keys, stats) in encode.GROUP_KEYS.items() if "count" in stats
-    ]
-    return parts[0].unionByName(parts[1])
+    maps = encode.fit_encodings(train).long_table()
+    counted = {f"group_{name}": name for name, (_, stats) in encode.GROUP_KEYS.items() if "count" in stats}
+    return maps.where(F.col("map").isin(*counted)).select(F.substring("map", 7, 100).alias("map"), "key", "cnt")
 
 
 @query("E3_group_means")
 def group_means(spark, d):
     _, train = encoded_rows(spark, d)
-    parts = [
-        encode.fit_group(train, keys).select(
-            F.lit(name).alias("map"), C.key_text(*[F.col(k) for k in keys]).alias("key"), *rounded("mean_amt")
-        )
-        for name, (keys, _) in encode.GROUP_KEYS.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    maps = encode.fit_encodings(train).long_table()
+    return maps.where(F.col("map").startswith("group_")).select(F.substring("map", 7, 100).alias("map"), "key", *rounded("mean_amt"))
 
 
 @query("E4_self_fit")
@@ -585,7 +577,7 @@ def drift_record(spark, d):
     recorded = metrics.ranking_areas(rows.where(F.col("split") == "val")).first().roc_auc
     held = rows.where(F.col("split") == "holdout")
     records = [
-        monitor.drift_record(_responses(held, failing), round(recorded, 6), release=name).drop("lines")
+        monitor.drift_record(_responses(held, failing), round(recorded, 6), release=name)
         for name, failing in (("answered", False), ("with errors", True))
     ]
     return records[0].unionByName(records[1])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -11,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", **conf: object) -> SparkSession:
@@ -35,13 +37,17 @@ def local_session(cores: int | str = "*", **conf: object) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in tests, a folder of our own is made.
+    A session on one machine, as in tests, may name none and gets a folder of its own; on a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
-    return _own_folder.setdefault(app, tempfile.mkdtemp(prefix="riskframe-"))
+    if app not in _own_folder:
+        _own_folder[app] = tempfile.mkdtemp(prefix="riskframe-")
+    return _own_folder[app]
 
 
 def together(*jobs: Callable):
@@ -52,7 +58,17 @@ def together(*jobs: Callable):
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/riskframe/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/riskframe/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this session, once no result that reads them is wanted any more."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
