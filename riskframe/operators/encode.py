@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import key_text, ratio_to_mean
 from riskframe.operators.positions import number_rows
-from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
+from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, hot_tables, lookup_join
 from riskframe.schema import ACCOUNT_KEYS, FREQUENCY_KEYS, GROUP_KEYS
 from riskframe.session import fresh_path, materialise, together
 
@@ -63,6 +63,14 @@ class Encodings:
     counts: dict[str, DataFrame]
     groups: dict[str, DataFrame]
     n_rows: dict[str, int]
+    path: str
+
+    def copy_to(self, path: str) -> None:
+        """Store the base tables at ``path``, from where ``load_encodings`` reads them."""
+        if path.rstrip("/") != self.path.rstrip("/"):
+            spark = SparkSession.active()
+            for name in _BASES:
+                spark.read.parquet(f"{self.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
 
     def tables(self) -> dict[str, DataFrame]:
         return {**self.counts, **{f"group_{k}": v for k, v in self.groups.items()}}
@@ -124,11 +132,11 @@ def load_encodings(spark: SparkSession, path: str, broadcast_rows: int = BROADCA
     groups = {g: _as_group(fitted[tuple(k)][0], k) for g, (k, _) in GROUP_KEYS.items()}
     n_rows = {f: fitted[tuple(k)][1] for f, k in FREQUENCY_KEYS.items()}
     n_rows |= {g: fitted[tuple(k)][1] for g, (k, _) in GROUP_KEYS.items()}
-    return Encodings(counts, groups, n_rows)
+    return Encodings(counts, groups, n_rows, path)
 
 
 def apply_counts(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], alias: str, table_rows: int | None = None, **limits: int
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], alias: str, table_rows: int | None = None, **limits
 ) -> DataFrame:
     joined = lookup_join(rows, table.withColumnRenamed("cnt", "_cnt"), keys, table_rows, **limits)
     return joined.withColumn(alias, F.coalesce(F.col("_cnt"), F.lit(0)).cast("float")).drop("_cnt")
@@ -136,7 +144,7 @@ def apply_counts(
 
 def apply_group(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str, stats: Sequence[str],
-    table_rows: int | None = None, **limits: int,
+    table_rows: int | None = None, **limits,
 ) -> DataFrame:
     fitted = table.select(*keys, F.col("cnt").alias("_cnt"), F.col("mean_amt").alias("_mean"))
     out = lookup_join(rows, fitted, keys, table_rows, **limits)
@@ -150,13 +158,19 @@ def apply_group(
 def apply_encodings(
     rows: DataFrame, fitted: Encodings, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add every fitted count and mean, and the amount relative to its card's mean."""
-    limits = dict(broadcast_rows=broadcast_rows, hot_rows=hot_rows)
+    """Add every fitted count and mean, and the amount relative to its card's mean.
+
+    Hot keys for the maps too large to broadcast are found once, before the first join.
+    """
+    used = {**FREQUENCY_KEYS, **{name: keys for name, (keys, _) in GROUP_KEYS.items()}}
+    large = list(dict.fromkeys(tuple(k) for name, k in used.items() if fitted.n_rows[name] > broadcast_rows))
+    hot = dict(zip(large, hot_tables(rows, large, hot_rows))) if large and not rows.isStreaming else {}
+    limits = lambda keys: dict(broadcast_rows=broadcast_rows, hot_rows=hot_rows, hot=hot.get(tuple(keys)))
     out = rows
     for alias, keys in FREQUENCY_KEYS.items():
-        out = apply_counts(out, fitted.counts[alias], keys, alias, fitted.n_rows[alias], **limits)
+        out = apply_counts(out, fitted.counts[alias], keys, alias, fitted.n_rows[alias], **limits(keys))
     for name, (keys, stats) in GROUP_KEYS.items():
-        out = apply_group(out, fitted.groups[name], keys, name, stats, fitted.n_rows[name], **limits)
+        out = apply_group(out, fitted.groups[name], keys, name, stats, fitted.n_rows[name], **limits(keys))
     return out.withColumn("amt_to_card1_mean_ratio", ratio_to_mean(F.col("amt_log"), F.col("card1_mean_amt")))
 
 

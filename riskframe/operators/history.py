@@ -1,17 +1,16 @@
 """Time since the previous transaction of the same key.
 
 "Previous" means earlier in (time, id), so equal times give 0.  A plain window
-per key would gather a hot card in one task.  Rows of hot keys are therefore cut
-into consecutive chunks of the (time, id) order; the window runs inside a chunk,
-and the first row of a chunk takes the last time of the key's earlier chunks
-from a table with one row per hot key and chunk.
+per key would gather a hot card in one task.  Rows of hot keys are therefore
+dealt by ranges of (key, time, id), which are even whatever times or ids they
+share; the window runs inside a range, and the first row of a range takes the
+last time of the key's earlier ranges from a table of their ends.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,56 +20,46 @@ from riskframe.session import materialise
 
 
 def time_since_previous(
-    rows: DataFrame, groups: Mapping[str, Sequence[str]] = HISTORY_KEYS, hot_rows: int = HOT_ROWS
+    rows: DataFrame, groups: Mapping[str, Sequence[str]] = HISTORY_KEYS, hot_rows: int = HOT_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add one column per group; all groups start with the same key column, so
-    Spark plans one exchange for all of them."""
+    Spark plans one exchange for all of them.  ``n_rows`` saves a count."""
     lead = {keys[0] for keys in groups.values()}
     if len(lead) != 1:
         raise ValueError("groups must share their first key")
-    hot = hot_keys(rows, list(lead), hot_rows) if rows.count() > hot_rows else None
+    key = lead.pop()
+    few = (rows.count() if n_rows is None else n_rows) <= hot_rows
+    hot = None if few else hot_keys(rows, [key], hot_rows)
     if hot is None or hot.isEmpty():
         return rows.withColumns({name: _gap(keys, []) for name, keys in groups.items()})
 
-    chunked = _cut_hot_keys(rows, hot, lead.pop(), hot_rows)
-    out = chunked
+    marked = lookup_join(rows, hot.withColumn("_hot", F.lit(True)), [key])
+    cold = marked.where(F.col("_hot").isNull()).drop("_hot")
+    cold = cold.withColumns({name: _gap(keys, []) for name, keys in groups.items()})
+    out = cut_into_ranges(marked.where(F.col("_hot")).drop("_hot"), key, hot_rows)
     for name, keys in groups.items():
-        carried = materialise(_last_before(chunked.where(F.col("_chunk") > 0), keys), "carried")
-        out = lookup_join(out, carried, [*keys, "_chunk", "_part"])
-        gap = F.coalesce(_gap(keys, ["_chunk", "_part"]), (F.col(TIME) - F.col("_carried")).cast("float"))
+        carried = materialise(_last_before(out, keys), "carried")
+        out = lookup_join(out, carried, [*keys, "_range"])
+        gap = F.coalesce(_gap(keys, ["_range"]), (F.col(TIME) - F.col("_carried")).cast("float"))
         out = out.withColumn(name, gap).drop("_carried")
-    return out.drop("_chunk", "_part")
+    return cold.unionByName(out.drop("_range"))
 
 
-def _gap(keys: Sequence[str], chunk: Sequence[str]):
-    before = Window.partitionBy(*keys, *chunk).orderBy(TIME, ID)
-    return (F.col(TIME) - F.lag(TIME).over(before)).cast("float")
+def cut_into_ranges(hot: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """The rows with the number of their range in the (key, time, id) order, as ``_range``; written."""
+    pieces = max(2, -(-2 * hot.count() // hot_rows))
+    dealt = hot.repartitionByRange(pieces, key, TIME, ID)
+    return materialise(dealt.withColumn("_range", F.spark_partition_id()), "hot-ranges")
 
 
-def _cut_hot_keys(rows: DataFrame, hot: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Add (_chunk, _part): 0, 0 for ordinary keys; for hot ones a time range and,
-    where one time alone fills a range, an id range of at most ``hot_rows`` ids."""
-    flagged = lookup_join(rows, hot.withColumn("_hot", F.lit(True)), [key], table_rows=0)
-    hot_only = flagged.where(F.col("_hot"))
-    pieces = max(2, min(8192, 2 * hot_only.count() // hot_rows))
-    shares = ", ".join(f"{i / pieces!r}D" for i in range(1, pieces))
-    cuts = hot_only.agg(
-        F.expr(f"percentile_approx({TIME}, array({shares}), {max(10_000, 4 * pieces)})").alias("c")
-    ).first().c
-    crowded = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    edges = sorted({*cuts, *crowded, *[t + 1 for t in crowded]})
-    timed = Bucketizer(
-        splits=[float("-inf"), *map(float, edges), float("inf")], inputCol="_time", outputCol="_bucket"
-    ).transform(flagged.withColumn("_time", F.col(TIME).cast("double")))
-    part = F.when(F.col("_hot") & F.col(TIME).isin(crowded), F.floor(F.col(ID) / hot_rows)).otherwise(0)
-    return timed.withColumns({
-        "_chunk": F.when(F.col("_hot"), F.col("_bucket") + 1).otherwise(0).cast("int"),
-        "_part": part.cast("long"),
-    }).drop("_hot", "_time", "_bucket")
+def _gap(keys: Sequence[str], within: Sequence[str]):
+    before = Window.partitionBy(*keys, *within).orderBy(TIME, ID)
+    return (F.col(TIME) - F.lag(TIME).over(before)).cast("float")
 
 
 def _last_before(hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key and chunk, the last time seen in the key's earlier chunks."""
-    ends = hot.groupBy(*keys, "_chunk", "_part").agg(F.max(TIME).alias("_end"))
-    earlier = Window.partitionBy(*keys).orderBy("_chunk", "_part")
-    return ends.select(*keys, "_chunk", "_part", F.lag("_end").over(earlier).alias("_carried"))
+    """Per key and range, the last time seen in the key's earlier ranges; a key has at most one row for each range."""
+    ends = hot.groupBy(*keys, "_range").agg(F.max(TIME).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_range")
+    return ends.select(*keys, "_range", F.lag("_end").over(earlier).alias("_carried"))

@@ -81,10 +81,12 @@ def _beside(rows: DataFrame, keys: Sequence[str], step: Callable[[DataFrame], Da
     return rows.join(narrow.drop(*keys).hint("shuffle_hash"), ID, "left")
 
 
-def with_history(rows: DataFrame, unique_ids: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_history(
+    rows: DataFrame, unique_ids: bool = False, hot_rows: int = HOT_ROWS, n_rows: int | None = None
+) -> DataFrame:
     """Add the times since the previous transaction."""
     keys = [TIME, "card1", "addr1"]
-    return _beside(rows, keys, lambda r: time_since_previous(r, HISTORY_KEYS, hot_rows), unique_ids)
+    return _beside(rows, keys, lambda r: time_since_previous(r, HISTORY_KEYS, hot_rows, n_rows), unique_ids)
 
 
 def with_encodings(

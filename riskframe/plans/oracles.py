@@ -383,6 +383,7 @@ SELECT n_val AS n, cutoff, (SELECT count(*) FROM sliced WHERE split = 'val' AND
 FROM policy""", split="tx"),
     "E8_brier_score": with_views(f"SELECT {_exact('(score - isFraud) * (score - isFraud)')} AS brier_score FROM tx"),
     "F1_time_since_previous": with_views(_lag("tx")),
+    "F1_time_since_previous_hot": with_views(_lag("tx")),
     "F1_time_since_previous_ties": with_views(_lag("otx")),
     "F2_time_split": with_views("SELECT TransactionID, TransactionDT, split FROM sliced", split="tx"),
     "F2_time_split_ties": with_views("SELECT TransactionID, TransactionDT, split FROM sliced", split="otx"),

@@ -462,6 +462,12 @@ def history_ties(spark, d):
     return time_since_previous(views.order_transactions(spark, d)).select(ID, *as_double(*HISTORY_KEYS))
 
 
+@query("F1_time_since_previous_hot")
+def history_hot(spark, d):
+    """The same where most keys are cut into ranges."""
+    return time_since_previous(views.transactions(spark, d), hot_rows=40).select(ID, *as_double(*HISTORY_KEYS))
+
+
 @query("F2_time_split")
 def time_split(spark, d):
     return sliced(views.transactions(spark, d)).select(ID, TIME, "split")
@@ -602,10 +608,9 @@ def category_dictionary(spark, d):
 def queue_profile(spark, d):
     """Training-fitted features of the holdout, inside and outside the top 2 % by score."""
     tx = views.scored(spark, d)
-    rows = sliced(tx)
-    built = materialise(
-        feat.with_history(feat.row_features(rows, carry=[LABEL, "split", "score"])), "features", partition_by=["split"]
-    )
+    split = fit_time_split(tx)
+    rows = materialise(feat.row_features(split.assign(tx), carry=[LABEL, "split", "score"]), "rows")
+    built = materialise(feat.with_history(rows, n_rows=split.n_total), "features", partition_by=["split"])
     maps = encode.fit_encodings(built.where(F.col("split") == "train"))
     held = encode.apply_encodings(built.where(F.col("split") == "holdout"), maps)
     n, at = order_statistics(

@@ -2,7 +2,7 @@ import random
 
 from rows import by_id, frame, row
 
-from riskframe.operators.history import time_since_previous
+from riskframe.operators.history import cut_into_ranges, time_since_previous
 
 A, B = "time_since_prev_card1", "time_since_prev_card1_addr1"
 
@@ -54,3 +54,12 @@ def test_hot_keys_are_cut_and_nothing_changes(spark):
         before = last.get(r["card1"])
         assert plain[r["TransactionID"]][A] == (None if before is None else float(r["TransactionDT"] - before))
         last[r["card1"]] = r["TransactionDT"]
+
+
+def test_sparse_ids_and_one_time_are_cut_evenly(spark):
+    df = frame(spark, *[row(TransactionID=i * 10 ** 9, TransactionDT=7) for i in range(1, 1001)])
+    cut = cut_into_ranges(df, "card1", 50)
+    sizes = [r["count"] for r in cut.groupBy("_range").count().collect()]
+    assert len(sizes) <= 2 * 1000 // 50 and max(sizes) <= 100
+    got = by_id(time_since_previous(df, hot_rows=50))
+    assert len(got) == 1000 and sorted(r[A] is None for r in got.values()) == [False] * 999 + [True]

@@ -40,6 +40,21 @@ def test_applying_encodings_moves_no_row(spark):
     assert text.count("BroadcastHashJoin") >= 7
 
 
+def test_large_maps_cost_one_shuffle_join_each(spark):
+    rows = feat.row_features(views.transactions(spark, DATA))
+    fitted = encode.fit_encodings(rows)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    applied = encode.apply_encodings(rows, fitted, broadcast_rows=0, hot_rows=20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # so that only what the code asks for is broadcast
+    try:
+        assert plan(applied.select("*")).count("SortMergeJoin") == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the hot keys of all six key sets come from one sample: its write and count, and a write for each set
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 3 * 7
+
+
 def test_reports_move_only_partial_sums(spark):
     rows = views.scored(spark, DATA)
     assert exchanges(ranking.review_queue(rows)) == ["SinglePartition"]
