@@ -174,8 +174,9 @@ def apply_encodings(
     return out.withColumn("amt_to_card1_mean_ratio", ratio_to_mean(F.col("amt_log"), F.col("card1_mean_amt")))
 
 
-def fit_dictionary(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value → code per column, codes following the text order of the values.
+def fit_dictionary(rows: DataFrame, columns: Sequence[str], counts: bool = False) -> DataFrame:
+    """Value → code per column, codes following the text order of the values; with
+    ``counts`` also the rows that hold the value, as ``seen``.
 
     Vocabularies may be as long as the data (cards, accounts), so the codes come
     from a range-partitioned numbering, not from one window per column.
@@ -183,11 +184,11 @@ def fit_dictionary(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     melted = rows.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
     )
-    values = melted.where(F.col("value").isNotNull()).distinct()
+    values = melted.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("seen"))
     numbered = number_rows(values, ["column", "value"], "_number")
     first = numbered.groupBy("column").agg(F.min("_number").alias("_first"))
     return numbered.join(F.broadcast(first), "column").select(
-        "column", "value", (F.col("_number") - F.col("_first")).alias("code")
+        "column", "value", (F.col("_number") - F.col("_first")).alias("code"), *(["seen"] if counts else [])
     )
 
 
@@ -196,3 +197,25 @@ def apply_dictionary(rows: DataFrame, dictionary: DataFrame, column: str, alias:
     codes = dictionary.where(F.col("column") == column).select(F.col("value").alias("_value"), F.col("code").alias(alias))
     keyed = rows.withColumn("_value", F.col(column).cast("string"))
     return lookup_join(keyed, codes, ["_value"], **limits).drop("_value")
+
+
+def apply_vocabulary(
+    rows: DataFrame, vocabulary: DataFrame, n_rows: dict[str, int], broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``{c}_code``, ``{c}_seen`` and ``{c}_missing`` for each text column of ``n_rows`` (column → number of its values).
+
+    Values not in the vocabulary have code -1 and were seen 0 times; so have missing ones, which the flag tells apart.
+    """
+    large = [c for c, n in n_rows.items() if n > broadcast_rows]
+    hot = dict(zip(large, hot_tables(rows, [[c] for c in large], hot_rows))) if large and not rows.isStreaming else {}
+    out = rows
+    for c, n in n_rows.items():
+        own = vocabulary.where(F.col("column") == c).select(
+            F.col("value").alias(c), F.col("code").cast("double").alias("_code"), F.col("seen").cast("double").alias("_seen"))
+        out = lookup_join(out, own, [c], n, broadcast_rows, hot_rows, hot=hot.get(c), spread_by=rows.columns[0])
+        out = out.withColumns({
+            f"{c}_code": F.coalesce("_code", F.lit(-1.0)), f"{c}_seen": F.coalesce("_seen", F.lit(0.0)),
+            f"{c}_missing": F.col(c).isNull().cast("double"),
+        }).drop("_code", "_seen")
+    return out

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions import columns as C
 from riskframe.operators.encode import Encodings, apply_encodings, fit_encodings
+from riskframe.operators.joins import duplicate_keys
 from riskframe.operators.history import time_since_previous
 from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS
 from riskframe.schema import (
@@ -131,6 +132,12 @@ def build_features(
     return finish(with_encodings(rows, fitted, unique_ids, broadcast_rows, hot_rows))
 
 
+def require_unique(rows: DataFrame) -> None:
+    """Joining back by id repeats rows whose ids repeat; who promises unique ids is held to it."""
+    if not duplicate_keys(rows).isEmpty():
+        raise ValueError(f"{ID} repeats")
+
+
 def feature_columns(features: DataFrame) -> list[str]:
     return [c for c in features.columns if c not in (ID, TIME, LABEL, "split")]
 

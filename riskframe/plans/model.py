@@ -16,25 +16,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import review_flag
-from riskframe.operators.encode import Encodings, fit_encodings, load_encodings
+from riskframe.operators.encode import Encodings, apply_vocabulary, fit_dictionary, fit_encodings, load_encodings
 from riskframe.operators.ranking import fit_review_policy
 from riskframe.operators.split import TimeSplit, fit_time_split, positive_weight
 from riskframe.plans.features import (
-    align, build_features, default_id, feature_columns, finish, row_features, with_encodings, with_history,
+    align, build_features, default_id, feature_columns, finish, require_unique, row_features, split_valid, with_encodings,
+    with_history,
 )
-from riskframe.schema import ID, IMPORTANCE_ROWS, LABEL, SEED
-from riskframe.session import fresh_path, materialise
+from riskframe.schema import ID, IMPORTANCE_ROWS, LABEL, SEED, SHORT_LISTS
+from riskframe.session import fresh_path, materialise, shared_folder
 
-# Trees keep one histogram per category value; longer vocabularies reach the
-# model through their counts and means only.
-MAX_CATEGORIES = 31
+# Values that a declared short list may have; trees keep one histogram for each.
+SHORT_VALUES = 63
 
 
 @dataclass(frozen=True)
 class TreeSettings:
-    trees: int = 20
-    depth: int = 5
-    step: float = 0.1
+    """``trees`` rounds at most; training ends when the validation loss has not fallen for ``patience`` rounds."""
+
+    trees: int = 2000
+    patience: int = 100
+    depth: int = 6
+    step: float = 0.05
     row_share: float = 0.8
     feature_share: str = "0.8"
     min_rows: int = 50
@@ -43,46 +46,76 @@ class TreeSettings:
 
 @dataclass
 class Inputs:
-    """How features become a vector: trained columns with their types, a value
-    below the minimum for missing numbers, and the columns that get a null flag."""
+    """How features become a vector.
+
+    Trained columns with their types; a value below the minimum for missing numbers, and the numbers that get a null flag;
+    text columns by the route their declaration gives them, whatever their size: short lists through an index, all others
+    (``coded``: column → number of values) through code and count of the training vocabulary and a missing flag.
+    """
 
     trained: dict[str, str]
     sentinels: dict[str, float]
     flagged: list[str]
     categories: list[str]
+    coded: dict[str, int]
 
     def columns(self) -> list[str]:
-        return [*self.sentinels, *[f"{c}_missing" for c in self.flagged], *[f"{c}_index" for c in self.categories]]
+        text = [f"{c}_{kind}" for c in self.coded for kind in ("code", "seen", "missing")]
+        return [*self.sentinels, *[f"{c}_missing" for c in self.flagged], *[f"{c}_index" for c in self.categories], *text]
 
-    def prepare(self, features: DataFrame, keep: Sequence[str]) -> DataFrame:
+    def prepare(self, features: DataFrame, keep: Sequence[str], vocabulary: DataFrame) -> DataFrame:
         rows = align(features, self.trained, keep)
         numbers = [F.coalesce(F.col(c).cast("double"), F.lit(v)).alias(c) for c, v in self.sentinels.items()]
         flags = [F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in self.flagged]
-        return rows.select(*keep, *numbers, *flags, *self.categories)
+        narrow = rows.select(*keep, *numbers, *flags, *self.categories, *self.coded)
+        return apply_vocabulary(narrow, vocabulary, self.coded).drop(*self.coded)
 
 
 def fit_inputs(train: DataFrame, categories: Sequence[str] | None = None) -> Inputs:
-    """Read off the training rows, in one pass, what the model can take."""
+    """Read off the training rows, in one pass, what the model can take; see ``Inputs`` for the routes of text columns.
+
+    A column without any value is left out. A short list that outgrows SHORT_VALUES is an error.
+    """
     names = feature_columns(train)
     kinds = {f.name: f.dataType for f in train.schema.fields}
     numbers = [c for c in names if isinstance(kinds[c], T.NumericType)]
-    texts = [c for c in names if isinstance(kinds[c], T.StringType) and c != "uid"]
+    texts = [c for c in names if isinstance(kinds[c], T.StringType)]
+    declared = [c for c in texts if c in (SHORT_LISTS if categories is None else categories)]
     seen = train.agg(
         F.count("*").alias("n"),
         *[F.min(c).alias(f"min_{c}") for c in numbers],
-        *[F.count(c).alias(f"has_{c}") for c in numbers],
-        *[F.approx_count_distinct(c).alias(f"values_{c}") for c in texts],
+        *[F.count(c).alias(f"has_{c}") for c in [*numbers, *texts]],
+        *[F.count_distinct(c).alias(f"values_{c}") for c in declared],
     ).first().asDict()
+    long = [c for c in declared if seen[f"values_{c}"] > SHORT_VALUES]
+    if long:
+        raise ValueError(f"declared as short lists, but with more than {SHORT_VALUES} values: {long}")
     used = [c for c in numbers if seen[f"has_{c}"]]
-    few = [c for c in texts if 1 < seen[f"values_{c}"] <= MAX_CATEGORIES * 0.9]
     return Inputs(
         trained={c: kinds[c].simpleString() for c in names},
         sentinels={c: float(seen[f"min_{c}"]) - 1.0 for c in used},
         flagged=[c for c in used if seen[f"has_{c}"] < seen["n"]],
-        categories=list(categories) if categories is not None else few,
+        categories=[c for c in declared if seen[f"has_{c}"]],
+        coded={c: 0 for c in texts if c not in declared and seen[f"has_{c}"]},
     )
 
 
+def fit_vocabulary(train: DataFrame, inputs: Inputs, path: str) -> DataFrame:
+    """Writes (column, value, code, seen) of the coded text columns, and notes in ``inputs`` how many values each has."""
+    spark = train.sparkSession
+    if inputs.coded:
+        fit_dictionary(train, list(inputs.coded), counts=True).write.mode("overwrite").parquet(path)
+    else:
+        spark.createDataFrame([], _VOCABULARY).write.mode("overwrite").parquet(path)
+    vocabulary = spark.read.schema(_VOCABULARY).parquet(path)
+    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}
+    inputs.coded = {c: sizes[c] for c in inputs.coded}
+    return vocabulary
+
+
+_VOCABULARY = "column string, value string, code bigint, seen bigint"
+
+
 @dataclass
 class Artifacts:
     inputs: Inputs
@@ -92,11 +125,13 @@ class Artifacts:
     policy: dict
     split: TimeSplit
     path: str
+    vocabulary: DataFrame
+    best_iteration: int = 0
 
     def raw_scores(self, features: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
         """Uncalibrated probability of the positive class, as ``raw``."""
         kept = {f"_kept_{c}": F.col(c) for c in keep}
-        scored = self.trees.transform(self.inputs.prepare(features.withColumns(kept), list(kept)))
+        scored = self.trees.transform(self.inputs.prepare(features.withColumns(kept), list(kept), self.vocabulary))
         return scored.select(
             *[F.col(f"_kept_{c}").alias(c) for c in keep], vector_to_array("probability")[1].alias("raw")
         )
@@ -114,17 +149,27 @@ class Artifacts:
         )
 
     def score(
-        self, transactions: DataFrame, history: bool = True, threshold: float | None = None
+        self, transactions: DataFrame, history: bool = True, threshold: float | None = None, unique_ids: bool = False
     ) -> DataFrame:
         """Score raw transactions: the same definition for a table and a stream.
 
-        ``history=False`` scores each row alone, so its result does not depend on
-        the rows beside it.
+        Rows that can't be scored are those of ``rejects``. ``history=False`` scores each row alone, so its result does
+        not depend on the rows beside it. ``unique_ids`` (checked) keeps wide rows from being shuffled by key.
         """
-        features = build_features(default_id(transactions), self.encodings, history)
+        valid, _ = split_valid(default_id(transactions))
+        if unique_ids:
+            require_unique(valid)
+        features = build_features(valid, self.encodings, history, unique_ids)
         scored = self.score_features(features, threshold=threshold)
         return scored.select(ID, F.round("score", 6).alias("calibrated_probability"), "review_flag")
 
+    def input_table(self) -> DataFrame:
+        """(column, route, n_values) of the text columns that the model takes."""
+        indexed = self.trees.stages[0].labelsArray if self.inputs.categories else []
+        rows = [(c, "short list", len(v)) for c, v in zip(self.inputs.categories, indexed)]
+        rows += [(c, "code and count", n) for c, n in self.inputs.coded.items()]
+        return SparkSession.active().createDataFrame(rows, "column string, route string, n_values bigint")
+
     def thresholds(self) -> DataFrame:
         """The calibration curve as (x, y) rows."""
         model, spark = self.calibrator, SparkSession.active()
@@ -141,9 +186,13 @@ class Artifacts:
         self.trees.write().overwrite().save(f"{path}/trees")
         self.calibrator.write().overwrite().save(f"{path}/calibrator")
         settings = json.dumps({
-            "inputs": vars(self.inputs), "policy": self.policy, "split": self.split.to_dict(), "encodings": f"{self.path}/maps",
+            "inputs": vars(self.inputs), "policy": self.policy, "split": self.split.to_dict(),
+            "best_iteration": self.best_iteration,
         })
         spark = SparkSession.active()
+        self.encodings.copy_to(f"{path}/maps")
+        if path.rstrip("/") != self.path.rstrip("/"):
+            self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
         spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
         return path
 
@@ -154,10 +203,12 @@ class Artifacts:
             Inputs(**settings["inputs"]),
             PipelineModel.load(f"{path}/trees"),
             IsotonicRegressionModel.load(f"{path}/calibrator"),
-            load_encodings(spark, settings["encodings"]),
+            load_encodings(spark, f"{path}/maps"),
             settings["policy"],
             TimeSplit.from_dict(settings["split"]),
             path,
+            spark.read.schema(_VOCABULARY).parquet(f"{path}/vocabulary"),
+            settings["best_iteration"],
         )
 
 
@@ -169,14 +220,38 @@ def importance_table(gains: Mapping[str, float], top: int = IMPORTANCE_ROWS) ->
     return spark.createDataFrame(rows, "rank int, feature string, gain double, gain_share double")
 
 
-def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = TreeSettings()) -> PipelineModel:
-    """Boosted trees on the ``train`` rows, stopped early on the ``val`` rows.
+def rejects(transactions: DataFrame) -> DataFrame:
+    """The rows that can't be scored, as they came, with ``reasons``."""
+    return split_valid(default_id(transactions))[1]
 
-    Positives weigh as much as negatives in total.  Category indexes come from
-    the training rows only; unseen and missing values share one extra index.
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round of the lowest loss, and whether ``patience`` rounds without a lower one have followed it.
+
+    Rounds beyond those are not looked at, as training would have ended before them.
     """
-    train = prepared.where(F.col("split") == "train")
-    weight = positive_weight(train).first().positive_weight
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = TreeSettings()) -> tuple[PipelineModel, int]:
+    """Boosted trees on the ``train`` rows and their number, which the ``val`` rows choose.
+
+    The library's own early stop has no patience, so trees are grown in runs of doubled length until the best round is
+    known, and once more up to it; the same seed grows the same first trees.  Positives weigh as much as negatives in
+    total.  Category indexes come from the training rows only; unseen and missing values share one extra index.
+    """
+    spark = prepared.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/riskframe/checkpoints")
+    weight = positive_weight(prepared.where(F.col("split") == "train")).first().positive_weight
+    weighted = prepared.withColumn("weight", F.when(F.col(LABEL) == 1, weight).otherwise(1.0))
+    train, val = (weighted.where(F.col("split") == s) for s in ("train", "val"))
     stages = []
     if inputs.categories:
         indexer = StringIndexer(
@@ -184,16 +259,26 @@ def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = Tree
         )
         stages.append(indexer.fit(train))
     stages.append(VectorAssembler(inputCols=inputs.columns(), outputCol="features"))
-    stages.append(GBTClassifier(
-        labelCol=LABEL, weightCol="weight", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.trees,
-        maxDepth=settings.depth, stepSize=settings.step, subsamplingRate=settings.row_share,
-        featureSubsetStrategy=settings.feature_share, minInstancesPerNode=settings.min_rows, seed=settings.seed,
-        maxBins=max(32, MAX_CATEGORIES + 1),
-    ))
-    rows = prepared.withColumns({
-        "weight": F.when(F.col(LABEL) == 1, weight).otherwise(1.0), "is_val": F.col("split") == "val",
-    })
-    return Pipeline(stages=stages).fit(rows)
+
+    def grow(rounds: int) -> PipelineModel:
+        trees = GBTClassifier(
+            labelCol=LABEL, weightCol="weight", maxIter=rounds, maxDepth=settings.depth, stepSize=settings.step,
+            subsamplingRate=settings.row_share, featureSubsetStrategy=settings.feature_share,
+            minInstancesPerNode=settings.min_rows, seed=settings.seed, maxBins=SHORT_VALUES + 1,
+            cacheNodeIds=True, checkpointInterval=10,
+        )
+        return Pipeline(stages=[*stages, trees]).fit(train)
+
+    rounds = min(settings.trees, 2 * settings.patience)
+    while True:
+        model = grow(rounds)
+        if val.isEmpty():
+            return model, rounds
+        assembled = PipelineModel(model.stages[:-1]).transform(val)
+        best, known = best_round(model.stages[-1].evaluateEachIteration(assembled), settings.patience)
+        if known or rounds == settings.trees:
+            return (model if best == rounds else grow(best)), best
+        rounds = min(settings.trees, 2 * rounds)
 
 
 def fit_calibrator(raw: DataFrame, label: str = LABEL) -> IsotonicRegressionModel:
@@ -212,7 +297,8 @@ def fit_calibrator(raw: DataFrame, label: str = LABEL) -> IsotonicRegressionMode
 def feature_table(transactions: DataFrame, split: TimeSplit, unique_ids: bool = False) -> DataFrame:
     """Features before encoding, with label and slice, written once by slice:
     fitting reads the train partition only."""
-    rows = with_history(row_features(split.assign(transactions), carry=[LABEL, "split"]), unique_ids)
+    rows = materialise(row_features(split.assign(transactions), carry=[LABEL, "split"]), "rows")
+    rows = with_history(rows, unique_ids, n_rows=split.n_total)
     return materialise(rows, "features", partition_by=["split"])
 
 
@@ -229,17 +315,22 @@ def train(
     calibrator and the review policy validation rows; nothing sees the holdout.
     """
     path = path or fresh_path(transactions.sparkSession, "model")
+    if unique_ids:
+        require_unique(transactions)
     split = fit_time_split(transactions)
     base = feature_table(transactions, split, unique_ids)
     encodings = fit_encodings(base.where(F.col("split") == "train"), f"{path}/maps")
     features = finish(with_encodings(base, encodings, unique_ids))
+    features = materialise(features, "encoded", partition_by=["split"])
 
-    inputs = fit_inputs(features.where(F.col("split") == "train"), categories)
+    in_train = features.where(F.col("split") == "train")
+    inputs = fit_inputs(in_train, categories)
+    vocabulary = fit_vocabulary(in_train, inputs, f"{path}/vocabulary")
     fitting = features.where(F.col("split") != "holdout")
-    prepared = inputs.prepare(fitting, [ID, LABEL, "split"])
-    trees = fit_trees(prepared, inputs, settings)
+    prepared = materialise(inputs.prepare(fitting, [ID, LABEL, "split"], vocabulary), "prepared", partition_by=["split"])
+    trees, best = fit_trees(prepared, inputs, settings)
 
-    artifacts = Artifacts(inputs, trees, None, encodings, {}, split, path)
+    artifacts = Artifacts(inputs, trees, None, encodings, {}, split, path, vocabulary, best)
     raw = materialise(
         artifacts.raw_scores(features.where(F.col("split") == "val"), [ID, LABEL]), "validation"
     )

@@ -248,6 +248,33 @@ judged AS (
 
 ORACLES: dict[str, str] = {
     "A1_csv_scan": _tx(_TX),
+    "A8_model_store": with_views("SELECT count(*) AS n_ids, cast(0 AS bigint) AS n_mismatches FROM tx"),
+    "F7_feature_importance": "SELECT cast(i AS integer) AS rank, true AS share_in_range, true AS gain_counts FROM range(1, 16) t(i)",
+    "G1_train_trees": _held(
+        "SELECT count(*) AS n, cast(sum(isFraud) AS bigint) AS n_positive, true AS better_than_chance, true AS rounds_within_limit FROM held"),
+    "G1_model_inputs": _feat("+ texts AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, '{route}' AS route, count(DISTINCT {value}) AS n_values FROM fit" for c, route, value in (
+            ("ProductCD", "short list", "ProductCD"), ("M4", "short list", "M4"), ("card1", "code and count", "card1"),
+            ("addr1", "code and count", "addr1"), ("P_emaildomain", "code and count", "P_emaildomain"),
+            ("uid", "code and count", _key("card1", "addr1", "start_day"))))
+        + """) SELECT name AS "column", route, n_values FROM texts"""),
+    "G2_raw_scores": _tx("TransactionID, isFraud, true AS in_range"),
+    "G3_isotonic_fit": with_views("SELECT count(*) AS n, cast(0 AS bigint) AS n_apart FROM tx"),
+    "G4_calibrated_scores": _held("SELECT TransactionID, isFraud, true AS in_range, true AS flag_fits FROM held"),
+    "G5_calibrator_thresholds": "SELECT true AS x_rises, true AS y_never_falls, true AS y_in_range",
+    "G8_batch_scores": with_views(
+        "SELECT TransactionID, true AS in_range, true AS has_flag FROM tx WHERE TransactionAmt IS NOT NULL"),
+    "G9_stream_scores": with_views(
+        "SELECT count(*) AS n_ids, cast(0 AS bigint) AS n_mismatches FROM tx WHERE TransactionAmt IS NOT NULL"),
+    "H5_queue_pair": _held(f""", a AS ({_queue('held', 'score')}), b AS ({_queue('held', 'masked')})
+SELECT top_fraction, a.n_reviewed, a.true_positives AS first_true_positives, a.precision AS first_precision,
+  a.recall AS first_recall, b.true_positives AS second_true_positives, b.precision AS second_precision, b.recall AS second_recall
+FROM a JOIN b USING (top_fraction)"""),
+    "A1_csv_layouts": _tx("""TransactionID, isFraud, TransactionDT, TransactionAmt,
+  CASE WHEN TransactionID % 2 = 0 OR TransactionID % 31 <> 0 THEN C1 END AS C1, ProductCD,
+  CASE WHEN TransactionID % 2 = 1 AND TransactionID % 31 = 0 THEN 'C1' ELSE '' END AS bad"""),
+    "G8_batch_rejects": with_views("SELECT TransactionID, 'missing TransactionAmt' AS reasons FROM tx WHERE TransactionAmt IS NULL"),
+    "G9_stream_rejects": with_views("SELECT TransactionID, 'missing TransactionAmt' AS reasons FROM tx WHERE TransactionAmt IS NULL"),
     "A2_csv_pruned_scan": _tx("TransactionID, isFraud, TransactionDT"),
     "A3_parquet_scan": "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events",
     "A4_parquet_sink": with_views(f"SELECT {_TX}, id_01, DeviceType FROM tx LEFT JOIN idn USING (TransactionID)"),

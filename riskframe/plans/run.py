@@ -52,7 +52,7 @@ def train_and_publish(
         metrics.rows_as_array(quality.missing_rates_by_family(merged), "family", "missing_rates"),
     ]).withColumn("n_columns", F.lit(len(merged.columns)))
     split = split_record(artifacts.split, artifacts.split.assign(merged.select(ID, "TransactionDT", LABEL)))
-    split = split.withColumns({"trees": F.lit(artifacts.trees.stages[-1].getNumTrees), "seed": F.lit(settings.seed)})
+    split = split.withColumns({"trees": F.lit(artifacts.best_iteration), "seed": F.lit(settings.seed)})
     document = report.assemble(facts, split, record, ranking.score_examples(scores))
     document = materialise(document, "document")
     write_report(document, f"{path}/document")

@@ -57,6 +57,9 @@ GROUP_KEYS = {
     "card1_P_emaildomain": (["card1", "P_emaildomain"], ["count", "mean_amt"]),
 }
 
+# Text columns whose lists of values are short by nature; all others may be as long as the data.
+SHORT_LISTS = ["ProductCD", "card4", "card6", "DeviceType", "M4"]
+
 HISTORY_KEYS = {
     "time_since_prev_card1": ["card1"],
     "time_since_prev_card1_addr1": ["card1", "addr1"],

@@ -66,11 +66,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables of this session, once no result that reads them is wanted any more."""
     paths = _made.pop(spark.sparkContext.applicationId, [])
-    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for path in paths:
+        remove(spark, path)
     return len(paths)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system the session finds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 

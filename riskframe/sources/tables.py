@@ -23,19 +23,50 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
     ])
 
 
+def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it: one row for each file reaches the driver."""
+    heads = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = heads.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.collect():
+        found.setdefault(row.header, []).append(row.file)
+    return found
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None, bad_cells: str | None = None
 ) -> DataFrame:
-    """A CSV table with header. ``columns`` prunes the scan to those fields.
+    """A CSV table with headers. ``columns`` prunes the scan to those fields.
 
-    The header decides which fields a file holds, so a file that lacks some of
-    the schema (no label, say) still reads; those columns are then absent.
+    Each file's own header says what its fields are, in whatever order; ``id-01`` and ``id_01`` are one name. A field that
+    some files lack is null there, one that all lack is absent. Cells are read as text and cast; what does not fit its type
+    becomes null, and ``bad_cells`` names a column for the array of such fields, so that rows can go to a reject table.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    known = {f.name: f for f in schema.fields}
-    fields = [known.get(name.replace("-", "_"), T.StructField(name, T.StringType())) for name in header]
-    df = spark.read.option("header", True).option("enforceSchema", True).schema(T.StructType(fields)).csv(path)
-    return nulls_for_nan(df.select(*columns) if columns else df)
+    known = {f.name: f.dataType for f in schema.fields}
+    parts = []
+    for header, files in sorted(_layouts(spark, path).items()):
+        names = spark.createDataFrame([(header,)], "value string").select(F.from_csv("value", _texts(header)).alias("r"))
+        fields = [name.replace("-", "_") for name in names.select("r.*").first()]
+        text = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+        raw = spark.read.option("header", True).option("enforceSchema", True).schema(text).csv(files)
+        wanted = [n for n in fields if columns is None or n in columns]
+        cells = [F.col(n).try_cast(known.get(n, T.StringType())).alias(n) for n in wanted]
+        bad = F.array_compact(F.array(*[
+            F.when(F.col(n).isNotNull() & F.col(n).try_cast(known[n]).isNull(), n) for n in wanted if n in known]))
+        parts.append(raw.select(*cells, *([bad.cast("array<string>").alias(bad_cells)] if bad_cells else [])))
+    if not parts:
+        raise ValueError(f"no CSV file with a header in {path}")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    order = [*columns, *([bad_cells] if bad_cells else [])] if columns else out.columns
+    return nulls_for_nan(out.select(*order))
+
+
+def _texts(header: str) -> str:
+    """A schema with room for every field of a header line."""
+    return ", ".join(f"c{i} string" for i in range(header.count(",") + 1))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.plans.features import split_valid
-from riskframe.plans.model import Artifacts
+from riskframe.plans.model import Artifacts, rejects
 
 
 def score_stream(stream: DataFrame, artifacts: Artifacts, threshold: float | None = None) -> DataFrame:
     """A stateless transformation: valid rows meet the fitted tables in
-    stream-static joins; history features are null.  Rejected rows are the other
-    half of ``split_valid`` and can be written by a query of their own."""
+    stream-static joins; history features are null.  The other rows are those of
+    ``reject_stream``, so that each row of the stream is written by one of the two."""
     valid, _ = split_valid(stream)
     return artifacts.score(valid, history=False, threshold=threshold)
 
 
+def reject_stream(stream: DataFrame) -> DataFrame:
+    """The rows that ``score_stream`` does not score, as they came, with ``reasons``."""
+    return rejects(stream)
+
+
 def start_scoring(scored: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append scores to ``path``; by default everything available, then stop."""
     return (

@@ -1,10 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
+from rows import frame, row
 
 from riskframe.operators import joins, metrics
 from riskframe.plans import model as ml
-from riskframe.plans.features import split_valid
-from riskframe.plans.queries import QUERIES, trained
+from riskframe.plans.features import row_features, split_valid
+from riskframe.plans.queries import streamed, trained
 from riskframe.sources import views
 
 DATA = "/root/testdata/sf0.01"
@@ -48,7 +49,7 @@ def test_alone_in_a_batch_and_in_a_stream_are_the_same(model, spark):
     artifacts, _, _ = model
     tx, _ = split_valid(views.transactions(spark, DATA))
     batch = artifacts.score(tx, history=False).withColumnRenamed("calibrated_probability", "score")
-    stream = QUERIES["G9_stream_scores"](spark, DATA).withColumnRenamed("calibrated_probability", "score")
+    stream = streamed(spark, DATA).withColumnRenamed("calibrated_probability", "score")
     summary = joins.comparison_summary(joins.compare_scores(batch, stream)).first()
     assert summary.n_mismatches == 0 and summary.n_ids > 9000
     few = tx.where("TransactionID IN (5, 77, 4001)")
@@ -59,6 +60,50 @@ def test_alone_in_a_batch_and_in_a_stream_are_the_same(model, spark):
     assert artifacts.score(bare, history=False).first().TransactionID == 0
 
 
+def test_routes_follow_the_declaration_not_the_size(spark):
+    rows = []
+    for i in range(400):
+        rows.append(row(TransactionID=i, TransactionDT=1000 + i * 50, isFraud=int(i % 9 == 0)) | {
+            "R_emaildomain": f"mail{i % 60}", "DeviceType": "mobile" if i % 2 else None})
+    base = frame(spark, *rows)
+    extra = spark.createDataFrame([(r["TransactionID"], r["R_emaildomain"], r["DeviceType"]) for r in rows],
+                                  "TransactionID bigint, R_emaildomain string, DeviceType string")
+    artifacts, _ = ml.train(base.join(extra, "TransactionID"), settings=ml.TreeSettings(trees=2, depth=2, min_rows=5))
+    columns = artifacts.inputs.columns()
+    assert {"R_emaildomain_code", "R_emaildomain_seen", "R_emaildomain_missing", "DeviceType_index", "uid_code"} <= set(columns)
+    assert artifacts.inputs.coded["R_emaildomain"] == 60
+    kept = artifacts.inputs.prepare(spark.createDataFrame([(1, None, None), (2, "mail3", "mobile"), (3, "new", "tv")],
+                                    "TransactionID bigint, R_emaildomain string, DeviceType string"), ["TransactionID"], artifacts.vocabulary)
+    got = {r.TransactionID: r for r in kept.collect()}
+    assert (got[1].R_emaildomain_code, got[1].R_emaildomain_missing) == (-1.0, 1.0)
+    assert got[2].R_emaildomain_code >= 0 and got[2].R_emaildomain_seen > 0 and got[3].R_emaildomain_seen == 0.0
+
+
+def test_short_lists_that_grow_are_an_error(spark):
+    rows = [row(TransactionID=i, ProductCD=f"p{i}") for i in range(100)]
+    with pytest.raises(ValueError):
+        ml.fit_inputs(row_features(frame(spark, *rows)))
+
+
+def test_patience():
+    losses = [5, 4, 3, 3, 3, 2.5, 2.6, 2.7, 2.8, 1.0]
+    assert ml.best_round(losses, 2) == (3, True)
+    assert ml.best_round(losses, 3) == (6, True)
+    assert ml.best_round(losses, 50) == (10, False)
+
+
+def test_ids_promised_unique_are_checked(spark):
+    tx = views.transactions(spark, "/root/testdata/sf0.001")
+    with pytest.raises(ValueError):
+        ml.train(tx.union(tx), unique_ids=True)
+
+
+def test_nothing_is_lost_between_scores_and_rejects(model, spark):
+    tx = views.transactions(spark, DATA)
+    scored, turned = model[0].score(tx, history=False), ml.rejects(tx)
+    assert scored.count() + turned.count() == tx.count() and turned.where("size(reasons) = 0").isEmpty()
+
+
 def test_importance_shares(spark):
     rows = ml.importance_table({"a": 1.0, "b": 3.0, "c": 0.0}, 2).collect()
     assert [(r.feature, r.gain_share) for r in rows] == [("b", 0.75), ("a", 0.25)]

@@ -20,7 +20,7 @@ def test_csv_round_trip_names_and_missing(spark):
     assert back.columns == ["TransactionID", "id_01", "DeviceType", "id_12"]
     assert sorted(back.collect()) == [(1, -5.0, None, "x"), (2, None, "mobile", None)]
     pruned = tables.read_csv(spark, path, identity_schema(), ["TransactionID"])
-    assert "ReadSchema: struct<TransactionID:bigint>" in pruned._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<TransactionID:string>" in pruned._jdf.queryExecution().toString()
 
 
 def test_unlabelled_file_reads_with_the_same_schema(spark):
@@ -29,6 +29,27 @@ def test_unlabelled_file_reads_with_the_same_schema(spark):
     assert "isFraud" not in tables.read_csv(spark, path, transaction_schema()).columns
 
 
+def test_files_with_other_orders_and_bad_cells(spark):
+    path = fresh_path(spark, "csv")
+    tables.write_csv(spark.createDataFrame([("7", "1.5", "x200")], "TransactionID string, C1 string, TransactionDT string"), f"{path}/a")
+    tables.write_csv(spark.createDataFrame([("5", "2.5", "8", "y")], "TransactionDT string, `id-01` string, TransactionID string, extra string"), f"{path}/b")
+    rows = {r.TransactionID: r for r in tables.read_csv(spark, f"{path}/*", transaction_schema(), bad_cells="bad").collect()}
+    assert (rows[7].C1, rows[7].TransactionDT, rows[7].bad) == (1.5, None, ["TransactionDT"])
+    assert (rows[8].C1, rows[8].TransactionDT, rows[8].id_01, rows[8].extra, rows[8].bad) == (None, 5, "2.5", "y", [])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        get = staticmethod(lambda name, default=None: default)
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "applicationId": "a"})()
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+
+
 def test_report_keeps_nulls_and_json_is_strict(spark):
     path = fresh_path(spark, "report")
     tables.write_report(spark.createDataFrame([(1, None)], "a int, b double"), path)
