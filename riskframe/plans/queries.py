@@ -663,6 +663,11 @@ def trained(spark: SparkSession, d: str) -> tuple[ml.Artifacts, DataFrame, DataF
     return _trained[key]
 
 
+def forget_models() -> None:
+    """Let the next query train again."""
+    _trained.clear()
+
+
 @query("G1_train_trees")
 def train_trees(spark, d):
     """The holdout, and whether the trees rank it better than chance; tests/test_model.py asks for 0.85 at scale 0.01."""

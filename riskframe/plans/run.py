@@ -13,7 +13,7 @@ from riskframe.operators.split import split_record
 from riskframe.plans import model as ml
 from riskframe.plans import report
 from riskframe.plans.features import mask_history
-from riskframe.schema import AMOUNT, ID, LABEL
+from riskframe.schema import AMOUNT, ID, LABEL, TIME
 from riskframe.session import materialise
 from riskframe.sources.tables import write_report
 
@@ -35,11 +35,23 @@ def clean_tables(transactions: DataFrame, identity: DataFrame, path: str) -> Dat
     return transactions.sparkSession.read.schema(merged.schema).parquet(path)
 
 
+def time_range(rows: DataFrame, name: str) -> DataFrame:
+    """One row: how many there are, and the first and last time."""
+    return rows.agg(F.count("*").alias(f"n_{name}"), F.min(TIME).alias(f"{name}_from"), F.max(TIME).alias(f"{name}_to"))
+
+
 def train_and_publish(
-    transactions: DataFrame, identity: DataFrame, path: str, settings: ml.TreeSettings = ml.TreeSettings()
+    transactions: DataFrame, identity: DataFrame, path: str, settings: ml.TreeSettings = ml.TreeSettings(),
+    unlabelled: tuple[DataFrame, DataFrame] | None = None,
 ) -> Run:
-    """Train on the merged table, evaluate the holdout, write artifacts and document."""
+    """Train on the merged table, evaluate the holdout, write artifacts and document.
+
+    An ``unlabelled`` pair of tables is merged beside it; the document states the rows and times of both.
+    """
     merged = clean_tables(transactions, identity, f"{path}/merged")
+    spans = [time_range(merged, "labelled")]
+    if unlabelled is not None:
+        spans.append(time_range(clean_tables(*unlabelled, f"{path}/merged_unlabelled"), "unlabelled"))
     artifacts, features = ml.train(merged, f"{path}/model", settings, unique_ids=True)
     artifacts.save()
     scores = ml.holdout_scores(artifacts, features, ["ProductCD", "amt_log"])
@@ -50,6 +62,7 @@ def train_and_publish(
         quality.identity_coverage(transactions, identity).select("n_with_identity", "pct_with_identity"),
         quality.marker_rows(merged).select("n_with_marker"),
         metrics.rows_as_array(quality.missing_rates_by_family(merged), "family", "missing_rates"),
+        *spans,
     ]).withColumn("n_columns", F.lit(len(merged.columns)))
     split = split_record(artifacts.split, artifacts.split.assign(merged.select(ID, "TransactionDT", LABEL)))
     split = split.withColumns({"trees": F.lit(artifacts.best_iteration), "seed": F.lit(settings.seed)})
@@ -63,7 +76,7 @@ def serving_report(run: Run, strict: bool = False) -> DataFrame:
     """What the holdout scores lose when history is unknown, and the release gate."""
     held = run.features.where(F.col("split") == "holdout")
     masked = run.artifacts.score_features(mask_history(held))
-    pairs = materialise(monitor.pair_scores(run.scores, run.scores, materialise(masked.select(ID, "score"), "masked")), "pairs")
+    pairs = monitor.pair_scores(run.scores, run.scores, masked.select(ID, "score"))
     queues = materialise(monitor.queue_pair(pairs), "queues")
     gate = monitor.release_gate(queues)
     if strict:

@@ -13,12 +13,15 @@ DATA = "/root/testdata/sf0.001"
 
 def test_from_raw_tables_to_reports(spark):
     tx, idn, path = views.transactions(spark, DATA), views.identities(spark, DATA), fresh_path(spark, "run")
-    done = plans.train_and_publish(tx, idn, path, TreeSettings(trees=3, depth=3, min_rows=5))
+    later = tx.drop("isFraud").withColumn("TransactionDT", F.col("TransactionDT") + 10 ** 7).limit(30)
+    done = plans.train_and_publish(tx, idn, path, TreeSettings(trees=3, depth=3, min_rows=5), unlabelled=(later, idn))
     written = json.loads(spark.read.text(f"{path}/document").first()[0])
     assert list(written) == ["model", "dataset_facts", "split", "metrics", "review_queue", "review_policy",
                              "calibration_table", "top_feature_importance", "example_rows"]
     assert len(written["example_rows"]) == 10 and written["split"]["n_total"] == 1000
     assert written["dataset_facts"]["n_with_identity"] == written["dataset_facts"]["n_with_marker"]
+    facts = written["dataset_facts"]
+    assert (facts["n_labelled"], facts["n_unlabelled"]) == (1000, 30) and facts["unlabelled_from"] > 10 ** 7
     assert done.document.count() == 1
 
     parity = plans.serving_report(done).first()

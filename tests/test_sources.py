@@ -104,9 +104,10 @@ def test_interpolation_equals_numpy(spark):
     curve = spark.createDataFrame(list(zip(xs, ys)), "x double, y double")
     values = [-1.0, 0.0, 0.1, 0.2, 0.21, 0.25, 0.5, 0.9, 2.0]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    got = {r.v: r.y for r in joins.interpolate(df, curve, "v", "y").collect()}
-    assert [got[v] for v in values] == pytest.approx(np.interp(values, xs, ys).tolist(), abs=1e-15)
-    assert got[None] is None and len(got) == len(values) + 1
+    for most in (joins.CURVE_POINTS, 2):
+        got = {r.v: r.y for r in joins.interpolate(df, curve, "v", "y", most).collect()}
+        assert [got[v] for v in values] == pytest.approx(np.interp(values, xs, ys).tolist(), abs=1e-15)
+        assert got[None] is None and len(got) == len(values) + 1
 
 
 def test_document_fields(spark):
