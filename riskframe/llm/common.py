@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 STEP_BYTES = 2_000_000
 #: Rows up to which a narrow table is broadcast; beyond it the same join is shuffled.
 BROADCAST_ROWS = 200_000
+#: Values of a stratum column that a sample is drawn for, the most frequent ones.
+STRATA = 200
+#: Code points up to which a text is drawn as a training example; scoring takes texts of any length.
+EXAMPLE_CHARS = 100_000
 
 #: ASCII letters and all bytes of other scripts stay, everything else becomes a space.
 LETTERS = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
@@ -62,7 +66,7 @@ def map_steps(df: DataFrame, column: str, make: Callable, schema: str) -> DataFr
 
 
 def bounded_sample(df: DataFrame, rows: int, per: str | None = None, seed: int = 17) -> DataFrame:
-    """About ``rows`` rows (of each value of ``per``), chosen by a hash of all columns; never above twice that in all.
+    """About ``rows`` rows (of each value of ``per``, see STRATA), chosen by a hash of all columns; never above twice that in all.
 
     The thresholds come from counts; a stable hash makes a repeated task choose the same rows.
     """
@@ -71,13 +75,23 @@ def bounded_sample(df: DataFrame, rows: int, per: str | None = None, seed: int =
     if per is None:
         total = df.count()
         return df.filter(place < rows / max(total, 1)).orderBy(key).limit(2 * rows)
-    counts = {r[0]: r[1] for r in df.groupBy(per).count().orderBy(F.desc("count")).limit(200).collect()}
+    counts = {r[0]: r[1] for r in df.groupBy(per).count().orderBy(F.desc("count")).limit(STRATA).collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(per).eqNullSafe(F.lit(value)), rows / n).otherwise(share)
     return df.filter(place < share).orderBy(key).limit(2 * rows * max(len(counts), 1))
 
 
+def examples(docs: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
+    """The texts of the ``chosen`` documents (doc_id, ...), at most ``rows`` of them, in an order that does not change.
+
+    Repeated rows can't make it longer, nor can texts above EXAMPLE_CHARS, which are left out.
+    """
+    texts = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= EXAMPLE_CHARS)
+    joined = texts.join(F.broadcast(chosen), "doc_id").drop("doc_id")
+    return joined.orderBy(F.xxhash64(*joined.columns)).limit(rows)
+
+
 def small(df: DataFrame) -> DataFrame:
     """Marks a written narrow table for broadcast if its count allows it."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

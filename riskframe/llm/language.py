@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import bounded_sample, fold, letter_words, map_steps
+from riskframe.llm.common import EXAMPLE_CHARS, bounded_sample, fold, letter_words, map_steps
 
 #: Documents that each language is fitted on; rounds of fitting; what is added to each piece's count.
 SAMPLE, ROUNDS, ADDED = 400, 4, 0.05
@@ -193,7 +193,7 @@ def train(docs: DataFrame, path: str, held_out: tuple[int, int] = (4, 2), sample
 
     About ``sample`` documents of each language are used; counts of their words are summed on the executors.
     """
-    learn = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), held_out[0]) != held_out[1]))
+    learn = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= EXAMPLE_CHARS) & (fold(F.col("doc_id"), held_out[0]) != held_out[1]))
     chosen = bounded_sample(learn.select("doc_id", "lang", "text"), sample, per="lang").select("lang", "text")
 
     def make():

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import bounded_sample, fold, map_steps
+from riskframe.llm.common import bounded_sample, examples, fold, map_steps
 
 
 @dataclass(frozen=True)
@@ -215,11 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0)
     """Draws trusted positives outside the fold crc32(doc_id) mod n = k of ``held_out``, and unlabelled from all texts."""
     good = labels.filter((F.col("quality") == 1) & (fold(F.col("doc_id"), held_out[0]) != held_out[1])).select("doc_id").distinct()
     good = bounded_sample(good, settings.positives)
-    some = docs.select("doc_id", "text")
-    positives = some.join(F.broadcast(good), "doc_id").select("text").orderBy(F.xxhash64("text")).toPandas()["text"].tolist()
-    unlabelled = bounded_sample(some.select("doc_id").distinct(), settings.unlabelled, seed=23)
-    unlabelled = some.join(F.broadcast(unlabelled), "doc_id").select("text").orderBy(F.xxhash64("text")).toPandas()["text"].tolist()
-    return fit(positives, unlabelled, settings)
+    any_ = bounded_sample(docs.select("doc_id").distinct(), settings.unlabelled, seed=23)
+    drawn = [examples(docs, ids, 2 * n).toPandas()["text"].tolist()
+             for ids, n in ((good, settings.positives), (any_, settings.unlabelled))]
+    return fit(*drawn, settings)
 
 
 def quality(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0), settings: Settings = Settings()) -> DataFrame:
