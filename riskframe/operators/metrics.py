@@ -11,30 +11,48 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import exact_mean
 from riskframe.operators.ranking import calibration_table, review_queue
 from riskframe.schema import LABEL
-from riskframe.session import together
+from riskframe.session import materialise, together
 
 # Distinct scores one task runs over; longer score columns get more ranges.
 RANGE_ROWS = 4_000_000
+# Ranges whose edges are listed on the driver; where more are needed, a range exchange makes them.
 FEWEST_RANGES, MOST_RANGES = 128, 16_384
 
 
-def _range_edges(rows: DataFrame, range_rows: int) -> list[float]:
+def _range_edges(rows: DataFrame, range_rows: int, most_ranges: int) -> list[float] | None:
     """Scores that cut the rows into ranges of at most about ``range_rows`` rows,
-    apart from rows that share one score."""
+    apart from rows that share one score; none if that takes more than ``most_ranges``."""
     def cut(ranges: int):
         shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
         sketch = F.expr(f"percentile_approx(_score, array({shares}), {max(10_000, 5 * ranges)})")
         return rows.agg(F.count("*").alias("n"), sketch.alias("cuts")).first()
 
     found = cut(FEWEST_RANGES)
-    needed = min(MOST_RANGES, found.n // range_rows + 1)
+    needed = found.n // range_rows + 1
+    if needed > most_ranges:
+        return None
     if needed > FEWEST_RANGES:
         found = cut(needed)
     return sorted(set(found.cuts or [0.0]))
 
 
+def _per_score(rows: DataFrame, range_rows: int, most_ranges: int) -> DataFrame:
+    """(_range, _score, pos, cnt): sums by distinct score, and the range of scores each lies in."""
+    sums = [F.sum("_y").alias("pos"), F.count("*").alias("cnt")]
+    edges = _range_edges(rows, range_rows, most_ranges)
+    if edges is None:
+        summed = materialise(rows.groupBy("_score").agg(*sums), "scores")
+        ranges = summed.count() // range_rows + 1
+        dealt = summed.repartitionByRange(ranges, "_score").withColumn("_range", F.spark_partition_id())
+        return materialise(dealt, "score-ranges")
+    splits = [float("-inf"), *edges, float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(rows)
+    return ranged.withColumn("_range", F.col("_range").cast("int")).groupBy("_range", "_score").agg(*sums)
+
+
 def ranking_areas(
-    scored: DataFrame, score: str = "score", label: str = LABEL, range_rows: int = RANGE_ROWS
+    scored: DataFrame, score: str = "score", label: str = LABEL, range_rows: int = RANGE_ROWS,
+    most_ranges: int = MOST_RANGES,
 ) -> DataFrame:
     """ROC-AUC (ties count half) and average precision, as one row.
 
@@ -45,10 +63,7 @@ def ranking_areas(
     rows = scored.where(F.col(score).isNotNull()).select(
         F.col(score).cast("double").alias("_score"), F.col(label).cast("long").alias("_y")
     )
-    splits = [float("-inf"), *_range_edges(rows, range_rows), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(rows)
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
-    per_score = ranged.groupBy("_range", "_score").agg(F.sum("_y").alias("pos"), F.count("*").alias("cnt"))
+    per_score = _per_score(rows, range_rows, most_ranges)
 
     above = Window.orderBy(F.desc("_range"))
     per_range = per_score.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("cnt").alias("c"))

@@ -111,3 +111,11 @@ def test_evaluate_is_one_row(spark):
     assert len(row) == 1 and row[0].holdout_n == 200
     assert [b.bin for b in row[0].calibration_table] == list(range(1, 11))
     assert [q.n_reviewed for q in row[0].review_queue] == [1, 2, 4, 10]
+
+
+def test_areas_with_ranges_from_an_exchange(spark):
+    rows = spark.range(500).selectExpr("cast(id * 37 % 90 as double) / 90 as score", "cast(id % 7 = 0 as int) as isFraud")
+    listed = metrics.ranking_areas(rows).first()
+    dealt = metrics.ranking_areas(rows, range_rows=10, most_ranges=1).first()
+    assert (dealt.n, dealt.n_positive) == (listed.n, listed.n_positive)
+    assert abs(dealt.roc_auc - listed.roc_auc) < 1e-12 and abs(dealt.average_precision - listed.average_precision) < 1e-12
