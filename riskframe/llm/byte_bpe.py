@@ -18,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from riskframe.llm.common import map_steps
+from riskframe.llm.common import map_steps, small_batches
+from riskframe.llm.pair_merge import LONGEST, PairMerger
 
 # The white space of Unicode; the suffixes that an apostrophe joins.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -28,7 +29,7 @@ LETTER, NUMBER, SIGN, SPACE, BETWEEN = 0, 1, 2, 3, 4
 #: A lone surrogate, which no text can hold, lies between texts.
 SEPARATOR = "\ud800"
 #: Pre-tokens kept in each of the two generations of a worker's cache.
-CACHED = 250_000
+CACHED = 120_000
 
 
 @cache
@@ -110,77 +111,32 @@ def pre_tokens(texts: list[str]) -> list[list[str]]:
     return [pieces[a + 1:b] for a, b in zip(marks, marks[1:])]
 
 
-def _pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys (left id << 32 | right id) of all pairs that merge, and the ids they become."""
-    found = [(ranks[left] << 32 | ranks[right], rank) for token, rank in ranks.items() for i in range(1, len(token))
-             if (left := token[:i]) in ranks and (right := token[i:]) in ranks]
-    found = np.array(sorted(found), np.int64).reshape(-1, 2)
-    return found[:, 0].copy(), found[:, 1].copy()
+def _pairs(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
+    """(left id, right id, merged id) of all pairs that merge."""
+    return [(ranks[left], ranks[right], rank) for token, rank in ranks.items() for i in range(1, len(token))
+            if (left := token[:i]) in ranks and (right := token[i:]) in ranks]
 
 
 class Merger:
-    """Merges many short pre-tokens at once: each round joins every word's pair of lowest rank, the leftmost of equal ones."""
-
-    NONE = 1 << 40
+    """Ids of pre-tokens: a token of the file as it is, all others by merging pairs from single bytes on."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.keys, self.ids = _pairs(ranks)
+        self.pairs = PairMerger(_pairs(ranks))
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        left, right = np.divmod(np.arange(1 << 16), 256)
-        self.first = self._rank(self.byte[left], self.byte[right])
-
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(left), self.NONE)
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ids[at], self.NONE)
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian int32."""
         out = [_packed([self.ranks[w]]) if w in self.ranks else None for w in words]
-        by_width: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        short = [i for i in rest if len(words[i]) <= LONGEST]
+        for i, ids in zip(short, self.pairs([words[i] for i in short], self.byte, self.byte)):
+            out[i] = ids
+        for i in rest:
             if out[i] is None:
-                by_width.setdefault(next((k for k in (8, 12, 16, 24, 40) if len(w) <= k), 0), []).append(i)
-        for i in by_width.pop(0, []):
-            out[i] = _merge_long(words[i], self.ranks)
-        for width, places in by_width.items():
-            for i, ids in zip(places, self._together([words[i] for i in places], width)):
-                out[i] = ids
+                out[i] = _merge_long(words[i], self.ranks)
         return out
 
-    def _together(self, words: list[bytes], width: int) -> list[bytes]:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width).astype(np.int64)
-        places = np.arange(width)
-        ids = np.where(places < sizes[:, None], self.byte[raw], -1)
-        rank = np.where(places[1:] < sizes[:, None], self.first[raw[:, :-1] << 8 | raw[:, 1:]], self.NONE)
-        live = np.arange(len(words))
-        while len(live):
-            at = rank[live].argmin(axis=1)
-            low = rank[live, at]
-            live, at, low = live[low < self.NONE], at[low < self.NONE], low[low < self.NONE]
-            if not len(live):
-                break
-            rows, behind = ids[live], places[None, :-1] + (places[None, :-1] > at[:, None])
-            rows[np.arange(len(live)), at] = low
-            rows[:, :-1] = np.take_along_axis(rows, behind, 1)
-            rows[:, -1] = -1
-            ids[live] = rows
-            ranked = rank[live]
-            ranked[:, :-1] = np.take_along_axis(ranked, behind[:, :-1], 1)
-            ranked[:, -1] = self.NONE
-            one = np.arange(len(live))
-            ranked[one, at] = self._rank(rows[one, at], rows[one, np.minimum(at + 1, width - 1)])
-            before = np.maximum(at - 1, 0)
-            ranked[one, before] = np.where(at > 0, self._rank(rows[one, before], rows[one, at]), ranked[one, before])
-            ranked[:, -1] = np.where(at == width - 1, self.NONE, ranked[:, -1])
-            rank[live] = ranked
-        many, flat = (ids >= 0).sum(axis=1).tolist(), ids.astype("<i4").tobytes()
-        return [flat[at:at + 4 * n] for at, n in zip(range(0, len(flat), 4 * width), many)]
-
 
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<i4").tobytes()
@@ -279,7 +235,8 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` (ids, offsets, ...) with ``bytes`` binary in place of both: each token's bytes put at its offset."""
-    kept = [f for f in rows.schema.fields if f.name not in ("ids", "offsets")]
+    kept = [f for f in rows.schema.fields if f.name not in ("ids", "offsets", "bytes")]
+    small_batches(rows.sparkSession)
     schema = type(rows.schema)([*kept]).add("bytes", "binary")
 
     def run(batches):

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one step of a Python worker handles at once (a longer text is a step of its own).
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
+#: Rows that Spark sends to a Python worker at once, unless the session says otherwise: texts may be long.
+BATCH_ROWS = 1_000
 #: Rows up to which a narrow table is broadcast; beyond it the same join is shuffled.
 BROADCAST_ROWS = 200_000
 #: Values of a stratum column that a sample is drawn for, the most frequent ones.
@@ -27,6 +30,18 @@ def letter_words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(LETTERS).split()
 
 
+def runs(items: list, size: int) -> Iterator[list]:
+    """Consecutive parts of a list."""
+    return (items[i:i + size] for i in range(0, len(items), size))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def fold(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n; null for a null key."""
     return F.crc32(key.cast("string")) % n
@@ -46,13 +61,20 @@ def steps(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordB
             yield batch.slice(start)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the rows of an Arrow batch to BATCH_ROWS where the session has left them at Spark's default."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def map_steps(df: DataFrame, column: str, make: Callable, schema: str) -> DataFrame:
     """``make()`` runs once per task and returns a function of one slice (see steps) that gives the new columns.
 
-    The columns other than ``column`` pass through; ``schema`` names the new ones, as DDL.
+    The columns other than ``column`` pass through; ``schema`` names the new ones, as DDL, which replace any of their name.
     """
-    kept = [f for f in df.schema.fields if f.name != column]
     out = df.sparkSession.createDataFrame([], schema).schema
+    kept = [f for f in df.schema.fields if f.name != column and f.name not in out.names]
 
     def run(batches):
         each = make()
@@ -60,7 +82,10 @@ def map_steps(df: DataFrame, column: str, make: Callable, schema: str) -> DataFr
             arrays = each(part.column(column).to_pylist())
             names = [f.name for f in kept] + [f.name for f in out.fields]
             yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + list(arrays), names=names)
+        del each
+        gc.collect()  # a worker that waits for its next task keeps no caches of this one
 
+    small_batches(df.sparkSession)
     full = type(df.schema)(kept + out.fields)
     return df.mapInArrow(run, full)
 
@@ -97,23 +122,27 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _names(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+
+
 def drop_listed(docs: DataFrame, listed: DataFrame, once: DataFrame) -> DataFrame:
     """Rows of ``docs`` without those in ``listed`` (doc_id, text_hash); of rows in ``once`` a single copy stays.
 
     A row is named by its id and a hash of its text. Both tables must be written ones.
     """
     names = docs.columns
-    doc_id, text_hash = "__id", "__hash"
+    doc_id, text_hash = unused(docs, "__id"), unused(docs, "__hash")
     keyed = docs.withColumn(doc_id, F.col("doc_id")).withColumn(text_hash, F.xxhash64("text"))
 
     def same(other):
         return F.col(doc_id).eqNullSafe(other["_id"]) & (F.col(text_hash) == other["_hash"])
 
-    gone = small(listed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    gone = small(_names(listed))
     left = keyed.join(gone, same(gone), "left_anti")
     if once.isEmpty():
         return left.select(*names)
-    again = small(once.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    again = small(_names(once))
     single = left.join(again, same(again), "left_anti")
     repeated = left.join(again, same(again), "left_semi").dropDuplicates([doc_id, text_hash])
     return single.unionByName(repeated).select(*names)

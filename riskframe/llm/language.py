@@ -15,12 +15,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import EXAMPLE_CHARS, bounded_sample, fold, letter_words, map_steps
+from riskframe.llm.common import EXAMPLE_CHARS, bounded_sample, fold, letter_words, map_steps, runs, unused
 
 #: Documents that each language is fitted on; rounds of fitting; what is added to each piece's count.
 SAMPLE, ROUNDS, ADDED = 400, 4, 0.05
 #: Words kept by a worker before it starts anew.
-CACHED = 300_000
+CACHED = 150_000
+#: Words whose cuts are held in memory together.
+WORDS_AT_ONCE = 10_000
 START = "▁"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -219,13 +221,15 @@ class Scorer:
             self.place, self.table = {}, self.table[:0]
         fresh = list(words.difference(self.place))
         if fresh:
-            m = self.model
-            scores = np.zeros((len(fresh), len(m.languages)))
-            for places, lattice in lattices([_word_text(w) for w in fresh], m.prefixes, m.log_p.shape[1] - 1):
-                scores[places] = lattice.log_words(m.log_p)
-            start = len(self.table)
-            self.table = np.concatenate([self.table, scores])
-            self.place.update(zip(fresh, range(start, start + len(fresh))))
+            self.place.update(zip(fresh, range(len(self.table), len(self.table) + len(fresh))))
+            self.table = np.concatenate([self.table, *map(self._score, runs(fresh, WORDS_AT_ONCE))])
+
+    def _score(self, words: list[bytes]) -> np.ndarray:
+        m = self.model
+        scores = np.zeros((len(words), len(m.languages)))
+        for places, lattice in lattices([_word_text(w) for w in words], m.prefixes, m.log_p.shape[1] - 1):
+            scores[places] = lattice.log_words(m.log_p)
+        return scores
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         words = [words_of(t) if t and _LETTER.search(t) else [] for t in texts]
@@ -275,16 +279,16 @@ KEPT_SHARE = 0.5
 
 def keep_identified(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` without those that have no letters or whose language stays open (see KEPT_SHARE); all columns stay."""
-    model = train(docs, path)
+    model, keep = train(docs, path), unused(docs, "__keep")
 
     def make():
         scorer = Scorer(model)
 
         def step(texts):
-            keep = [lang != "und" and score >= KEPT_SHARE for lang, score in scorer(texts)]
-            return [pa.array(texts, pa.string()), pa.array(keep, pa.bool_())]
+            kept = [lang != "und" and score >= KEPT_SHARE for lang, score in scorer(texts)]
+            return [pa.array(texts, pa.string()), pa.array(kept, pa.bool_())]
 
         return step
 
-    told = map_steps(docs.select("text", *[c for c in docs.columns if c != "text"]), "text", make, "text string, __keep boolean")
-    return told.filter("__keep").select(*docs.columns)
+    told = map_steps(docs.select("text", *[c for c in docs.columns if c != "text"]), "text", make, f"text string, {keep} boolean")
+    return told.filter(F.col(keep)).select(*docs.columns)

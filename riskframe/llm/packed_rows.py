@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from riskframe.llm.common import steps
+from riskframe.llm.common import small_batches, steps
 from riskframe.llm.word_tokens import word_ids
 
 CAPACITY, END_ID, PAD_ID = 4096, 1, 0
@@ -76,6 +76,7 @@ def packed_rows(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: in
     a task gathers (GROUP_TOKENS) is packed together, so that memory is bounded and a lost task is simply run again.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    small_batches(docs.sparkSession)
 
     def run(batches):
         ids_of, part, number = word_ids(path), TaskContext.get().partitionId(), 0

@@ -54,7 +54,7 @@ def shape(token: str) -> str:
 class Features:
     """Dense features and token codes of texts; each token is looked at once."""
 
-    CACHED = 200_000
+    CACHED = 150_000
 
     def __init__(self, buckets: int):
         self.buckets, self.place, self.pairs = buckets, {}, np.zeros((0, 2), np.int32)

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import cache
 from itertools import chain
 
+import numpy as np
+
+from riskframe.llm.common import runs
+from riskframe.llm.pair_merge import LONGEST, PairMerger
+
 #: Pre-tokens kept in each of the two generations of a worker's cache.
-CACHED = 250_000
+CACHED = 120_000
 # Texts of ASCII and Latin-1 letters alone are cut here as the file's normaliser and pre-tokeniser would.
 _OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\\|")
 _CUT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿ]+")
+_WORD = re.compile("[a-zß-öø-ÿ]+")
 
 
 def _parts(text: str) -> list[str]:
@@ -21,14 +28,35 @@ def _parts(text: str) -> list[str]:
     return _CUT.findall(text.lower())
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it prints, else the next one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (chr(256 + i) for i in range(256))
+    return [chr(b) if b in prints else next(others) for b in range(256)]
+
+
 class WordIds:
-    """Ids as little-endian uint32 bytes; each part is encoded once and then looked up."""
+    """Ids as little-endian uint32 bytes; each part is encoded once and then looked up.
+
+    Parts go through the library but for short words of lower-case letters, which are merged here by the same file's
+    merges, many at once; that needs the ids to follow the order of the merges.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ids, end = model["vocab"], model["end_of_word_suffix"] or ""
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        becomes = [ids[a + b] for a, b in merges]
+        self.merger = None
+        if all(a < b for a, b in zip(becomes, becomes[1:])):
+            self.merger = PairMerger((ids[a], ids[b], c) for (a, b), c in zip(merges, becomes))
+            letters = _byte_letters()
+            self.inner, self.final = (np.array([ids[c + e] for c in letters], np.int64) for e in ("", end))
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -43,10 +71,14 @@ class WordIds:
         fresh = parts.difference(self.new)
         known = fresh.intersection(self.old)
         self.new.update((p, self.old[p]) for p in known)
-        rest = list(fresh - known)
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        for part, encoding in zip(rest, found):
-            self.new[part] = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
+        rest = fresh - known
+        if self.merger is not None:
+            words = [p for p in rest if len(p) <= LONGEST // 2 and _WORD.fullmatch(p)]
+            self.new.update(zip(words, self.merger([w.encode("utf-8") for w in words], self.inner, self.final)))
+            rest = rest.difference(words)
+        for some in runs(list(rest), 5_000):
+            for part, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.new[part] = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
         return self.new
 
 

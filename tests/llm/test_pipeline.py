@@ -70,3 +70,12 @@ def test_repeated_null_and_empty_rows(spark):
     assert sorted(r.doc_id for r in docs.collect()) == [2, 3]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_columns_with_names_of_ours(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    docs = docs.selectExpr("*", "true as __keep", "1 as __id", "2 as __hash", "0.5D as score", "'x' as fp", "3 as row_id", "4 as _id")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SMALL)
+        assert after.dtypes == docs.dtypes and 0 < after.count() <= 60
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= 60
