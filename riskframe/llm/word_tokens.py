@@ -23,7 +23,7 @@ _WORD = re.compile("[a-zß-öø-ÿ]+")
 
 def _parts(text: str) -> list[str]:
     """Parts of a text whose ids, in turn, are the text's: pre-tokens, or words between ASCII white space."""
-    if _OTHER.search(text):
+    if "<|" in text if text.isascii() else _OTHER.search(text):
         return [w.decode("utf-8") for w in text.encode("utf-8").split()]
     return _CUT.findall(text.lower())
 
