@@ -2,7 +2,7 @@
 
 A suffix is a line of a document and all that follow. Level k ranks suffixes by their first 2**k lines; suffixes that no
 other one equals so far drop out, since they can't be part of a repeated run. A run counts when it spans at least
-MIN_CHARS characters. The suffixes that share their shortest such run lie together in the suffix order, as an interval whose
+MIN_CHARS characters or MIN_WORDS words. The suffixes that share their shortest such run lie together in the suffix order, as an interval whose
 common prefix is that long; they are told by two overlapping ranks. All but the interval's first occurrence are deleted,
 and overlapping intervals join up to the maximal repeated runs.
 """
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import BROADCAST_ROWS
 from riskframe.session import materialise
 
-MIN_CHARS = 200
-_LAST = (1 << 63) - 1
+#: Passages of over 50 words count, however short their words; so do 200 characters, for texts with few spaces.
+MIN_CHARS, MIN_WORDS = 200, 51
+_LAST, _WORD = (1 << 63) - 1, r"[^\x20\x09-\x0D]+"
 
 
 def _key(docs: DataFrame) -> DataFrame:
@@ -27,20 +28,26 @@ def _key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("d", F.coalesce("doc_id", F.lit(_LAST))).withColumn("th", F.xxhash64("text"))
 
 
-def suffixes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def suffixes(docs: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
     """d, th, line, a 128-bit line id (h1, h2), and n: the lines of the shortest run from here with min_chars characters,
-    line breaks included; null where the document ends before."""
+    line breaks included, or min_words words; null where the document ends before both."""
     lines = _key(docs.select("doc_id", "text")).select(
         "d", "th", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "own"))
     lines = lines.select("d", "th", "line", F.xxhash64("own").alias("h1"), F.xxhash64(F.lit(7), "own").alias("h2"),
-                         (F.length("own") + 1).alias("size"))
-    lines = lines.repartition("d", "th").groupBy("d", "th", "line").agg(*[F.first(c).alias(c) for c in ("h1", "h2", "size")])
+                         (F.length("own") + 1).alias("size"), F.regexp_count("own", F.lit(_WORD)).alias("words"))
+    lines = lines.repartition("d", "th").groupBy("d", "th", "line").agg(*[F.first(c).alias(c) for c in ("h1", "h2", "size", "words")])
     of_doc = Window.partitionBy("d", "th").orderBy("line")
     lines = lines.withColumn("start", F.sum("size").over(of_doc) - F.col("size"))
     total = F.sum("size").over(Window.partitionBy("d", "th"))
     ahead = Window.partitionBy("d", "th").orderBy("start").rangeBetween(0, min_chars - 1)
     reach = F.when(total - F.col("start") >= min_chars, F.count("*").over(ahead)).cast("int")
-    return lines.select("d", "th", "line", "h1", "h2", reach.alias("n"))
+    lines = lines.withColumn("n", reach).withColumn("told", F.sum("words").over(of_doc) - F.col("words"))
+    by_words = Window.partitionBy("d", "th").orderBy("told")
+    spoken = F.count("*").over(by_words.rangeBetween(0, min_words - 1))
+    peers = F.col("line") - (F.rank().over(by_words) - 1)  # lines before this one with no word between
+    all_words = F.sum("words").over(Window.partitionBy("d", "th"))
+    reach_words = F.when(all_words - F.col("told") >= min_words, spoken - peers).cast("int")
+    return lines.select("d", "th", "line", "h1", "h2", F.least("n", reach_words).alias("n"))
 
 
 def _ranked(pairs: DataFrame, name: str) -> DataFrame:
@@ -77,9 +84,9 @@ def _shifted(level: DataFrame) -> DataFrame:
     return level.select("d", "th", F.col("line").alias("other"), F.col("rank").alias("b"))
 
 
-def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, line, n): starts and lengths of runs that occur before, in the order of doc_id and line."""
-    rows = materialise(suffixes(docs, min_chars), "suffixes")
+    rows = materialise(suffixes(docs, min_chars, min_words), "suffixes")
     level = _level(rows.select("d", "th", "line", "n", F.col("h1").alias("a"), F.col("h2").alias("b")), 0)
     copies, k = None, 0
     while True:
@@ -101,14 +108,15 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         level = _level(pairs.select("d", "th", "line", "n", F.col("rank").alias("a"), "b"), k)
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text, n_lines, n_deleted for every row of ``docs``: text without lines of runs that occur before.
 
+    A repeated run of fewer than ``min_chars`` characters and fewer than ``min_words`` words stays.
     Lines are divided by line feeds and equal when identical. Order is by doc_id (null ids last), then line; earlier copies
     may lie in the same document and overlap the later one. Rows with equal doc_id and text are one document and get the
     same result. Null texts stay null, as one line that is never deleted; an empty table gives no rows.
     """
-    runs = later_copies(docs, min_chars).select("d", "th", "line", (F.col("line") + F.col("n")).alias("end"))
+    runs = later_copies(docs, min_chars, min_words).select("d", "th", "line", (F.col("line") + F.col("n")).alias("end"))
     of_doc = Window.partitionBy("d", "th").orderBy("line", "end")
     reached = F.max("end").over(of_doc.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(F.col("line") > F.coalesce(reached, F.lit(-1)), 1).otherwise(0)

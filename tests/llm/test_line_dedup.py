@@ -61,3 +61,31 @@ def test_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert line_dedup.line_dedup(empty).count() == 0
     assert check(spark.createDataFrame([(1, "x" * 500)], "doc_id long, text string"), 200) == 0
+
+
+def words_by_force(text, seen, least_chars, least_words):
+    """Lines deleted when a run of enough characters or words was seen before; runs of this text are added to ``seen``."""
+    lines, gone = text.split("\n"), set()
+    for i in range(len(lines)):
+        for n in range(1, len(lines) - i + 1):
+            run = lines[i:i + n]
+            if sum(len(x) + 1 for x in run) >= least_chars or sum(len(x.split()) for x in run) >= least_words:
+                if tuple(run) in seen:
+                    gone.update(range(i, i + n))
+                seen.add(tuple(run))
+                break
+    return len(gone)
+
+
+def test_passages_of_short_words_go(spark):
+    """51 words of one letter are a passage of 101 characters; blank lines between carry no word."""
+    lines = [" ".join("abcdefghijklmnopq") for _ in range(3)]
+    fifty = " ".join(["x"] * 50)
+    rows = [(1, "first\n" + "\n".join(lines) + "\nend"), (2, "other\n" + "\n".join(lines) + "\nlast"),
+            (3, fifty), (4, fifty), (5, "\n\n" + " ".join("y" * 51)), (6, "\n\n\n" + " ".join("y" * 51) + "\n\n")]
+    rng = random.Random(4)
+    rows += [(10 + i, "\n".join(rng.choices(["a b c d e f g h i j", "k", "", "l m n"], k=rng.randint(5, 60)))) for i in range(40)]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].n_deleted == 3 and got[2].text == "other\nlast" and got[4].n_deleted == 0 and got[6].n_deleted == 3
+    seen = set()
+    assert {d: got[d].n_deleted for d, _ in rows} == {d: words_by_force(t, seen, 200, 51) for d, t in rows}
