@@ -7,17 +7,17 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import materialise
+
 #: Text bytes that one step of a Python worker handles at once (a longer text is a step of its own).
 STEP_BYTES = 1_000_000
 #: Rows that Spark sends to a Python worker at once, unless the session says otherwise: texts may be long.
 BATCH_ROWS = 1_000
 #: Rows up to which a narrow table is broadcast; beyond it the same join is shuffled.
 BROADCAST_ROWS = 200_000
-#: Values of a stratum column that a sample is drawn for, the most frequent ones.
-STRATA = 200
 #: Code points up to which a text is drawn as a training example; scoring takes texts of any length.
 EXAMPLE_CHARS = 100_000
 
@@ -91,7 +91,7 @@ def map_steps(df: DataFrame, column: str, make: Callable, schema: str) -> DataFr
 
 
 def bounded_sample(df: DataFrame, rows: int, per: str | None = None, seed: int = 17) -> DataFrame:
-    """About ``rows`` rows (of each value of ``per``, see STRATA), chosen by a hash of all columns; never above twice that in all.
+    """About ``rows`` rows (of every value of ``per``), chosen by a hash of all columns; never above twice that.
 
     The thresholds come from counts; a stable hash makes a repeated task choose the same rows.
     """
@@ -100,11 +100,12 @@ def bounded_sample(df: DataFrame, rows: int, per: str | None = None, seed: int =
     if per is None:
         total = df.count()
         return df.filter(place < rows / max(total, 1)).orderBy(key).limit(2 * rows)
-    counts = {r[0]: r[1] for r in df.groupBy(per).count().orderBy(F.desc("count")).limit(STRATA).collect()}
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(per).eqNullSafe(F.lit(value)), rows / n).otherwise(share)
-    return df.filter(place < share).orderBy(key).limit(2 * rows * max(len(counts), 1))
+    value, share, rank = unused(df, "__value"), unused(df, "__share"), unused(df, "__rank")
+    counts = df.groupBy(F.col(per).alias(value)).agg((F.lit(float(rows)) / F.count("*")).alias(share))
+    counts = small(materialise(counts, "strata"))
+    drawn = df.withColumn(rank, place).join(counts, F.col(per).eqNullSafe(F.col(value))).filter(F.col(rank) < F.col(share))
+    first = F.row_number().over(Window.partitionBy(per).orderBy(key))
+    return drawn.withColumn(rank, first).filter(F.col(rank) <= 2 * rows).select(*df.columns)
 
 
 def examples(docs: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:

@@ -7,7 +7,10 @@ words, lower-case runs of letters, each with the mark of a word's start; words a
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import EXAMPLE_CHARS, bounded_sample, fold, letter_words, map_steps, runs, unused
+from riskframe.session import materialise
 
 #: Documents that each language is fitted on; rounds of fitting; what is added to each piece's count.
 SAMPLE, ROUNDS, ADDED = 400, 4, 0.05
-#: Words kept by a worker before it starts anew.
-CACHED = 150_000
+#: Documents above EXAMPLE_CHARS that each language is fitted on; languages that a model may have.
+LONG_SAMPLE, MOST_LANGUAGES = 4, 1_000
+#: Words kept by a worker before it starts anew, and scores of words by language.
+CACHED, CACHED_SCORES = 150_000, 4_000_000
 #: Words whose cuts are held in memory together.
 WORDS_AT_ONCE = 10_000
 START = "▁"
@@ -170,10 +176,16 @@ def lattices(words: list[str], prefixes: Prefixes, unknown: int) -> list[tuple[n
 
 def fit(words: dict[str, dict[str, int]], pieces: dict[str, int], rounds: int = ROUNDS) -> Model:
     """Piece probabilities of each language from its word counts."""
-    languages, prefixes, log_p = sorted(words), Prefixes(pieces), []
-    for language in languages:
-        parts = lattices(list(words[language]), prefixes, len(pieces))
-        times = np.array(list(words[language].values()), float)
+    return fit_each(((language, words[language]) for language in sorted(words)), pieces, rounds)
+
+
+def fit_each(counted: Iterable[tuple[str, dict[str, int]]], pieces: dict[str, int], rounds: int = ROUNDS) -> Model:
+    """The same from languages and their word counts in turn, so that the words of one at a time are held."""
+    languages, prefixes, log_p = [], Prefixes(pieces), []
+    for language, words in counted:
+        languages.append(language)
+        parts = lattices(list(words), prefixes, len(pieces))
+        times = np.array(list(words.values()), float)
         p = np.full(len(pieces) + 1, -np.log(len(pieces) + 1))
         for _ in range(rounds):
             counts = sum(lattice.expected(p, times[places]) for places, lattice in parts) + ADDED
@@ -193,20 +205,25 @@ def _word_text(word: bytes) -> str:
 def train(docs: DataFrame, path: str, held_out: tuple[int, int] = (4, 2), sample: int = SAMPLE) -> Model:
     """A model from text and non-null lang of the documents outside the fold crc32(doc_id) mod n = k of ``held_out``.
 
-    About ``sample`` documents of each language are used; counts of their words are summed on the executors.
+    About ``sample`` documents of every language are used, of those above EXAMPLE_CHARS about LONG_SAMPLE; counts of their
+    words are summed on the executors. More than MOST_LANGUAGES are an error: a worker holds all piece probabilities.
     """
-    learn = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= EXAMPLE_CHARS) & (fold(F.col("doc_id"), held_out[0]) != held_out[1]))
-    chosen = bounded_sample(learn.select("doc_id", "lang", "text"), sample, per="lang").select("lang", "text")
+    learn = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), held_out[0]) != held_out[1]))
+    learn, long = learn.select("doc_id", "lang", "text"), F.length("text") > EXAMPLE_CHARS
+    chosen = bounded_sample(learn.filter(~long), sample, per="lang")
+    chosen = chosen.union(bounded_sample(learn.filter(long), LONG_SAMPLE, per="lang")).select("lang", "text")
 
     def make():
-        kind = pa.list_(pa.string())
-        return lambda texts: [pa.array([[w.decode("utf-8", "replace") for w in words_of(t)] for t in texts], kind)]
+        kind = pa.map_(pa.string(), pa.int64())
+        return lambda texts: [pa.array([list(Counter(w.decode("utf-8", "replace") for w in words_of(t)).items()) for t in texts], kind)]
 
-    counted = map_steps(chosen, "text", make, "words array<string>").select("lang", F.explode("words").alias("word"))
-    words: dict[str, dict[str, int]] = {}
-    for lang, word, n in counted.groupBy("lang", "word").count().toLocalIterator():
-        words.setdefault(lang, {})[START + word] = n
-    return fit(words, read_pieces(path))
+    counted = map_steps(chosen, "text", make, "words map<string,bigint>").select("lang", F.explode("words").alias("word", "n"))
+    counted = materialise(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    many = counted.agg(F.count_distinct("lang")).first()[0]
+    if many > MOST_LANGUAGES:
+        raise ValueError(f"{many} languages; at most {MOST_LANGUAGES} fit a worker's memory")
+    rows = counted.orderBy("lang", "word").toLocalIterator()
+    return fit_each(((lang, {START + r.word: r.n for r in own}) for lang, own in groupby(rows, lambda r: r.lang)), read_pieces(path))
 
 
 class Scorer:
@@ -217,7 +234,7 @@ class Scorer:
         self.table = np.zeros((0, len(model.languages)))
 
     def _fill(self, words: set[bytes]) -> None:
-        if len(self.place) > CACHED:
+        if len(self.place) > min(CACHED, CACHED_SCORES // max(1, len(self.model.languages))):
             self.place, self.table = {}, self.table[:0]
         fresh = list(words.difference(self.place))
         if fresh:

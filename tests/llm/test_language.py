@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 
 from riskframe.llm import language, queries
+from riskframe.llm.common import bounded_sample
 
 SMALL = "/root/testdata/sf0.01"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -78,3 +79,27 @@ def test_nothing_to_learn(spark):
     assert language.identify(empty, PIECES).count() == 0
     alone = spark.createDataFrame([(1, "word", None)], "doc_id long, text string, lang string")
     assert [tuple(r) for r in language.identify(alone, PIECES).collect()] == [(1, False, "und", 0.0)]
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than a list on the driver once held, and one that has very long documents only."""
+    rng = random.Random(3)
+    names = [f"l{i:03d}" for i in range(230)]
+    own = {n: ["".join(rng.choices("abcdefghijklmnoprstuvz", k=7)) for _ in range(6)] for n in names}
+    rows = [(8 * i + j, " ".join(rng.choices(own[n], k=12)), n) for i, n in enumerate(names) for j in range(8)]
+    rows += [(9000 + j, "xylo quux wyrm " * 7000, "long") for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, PIECES)
+    assert model.languages == ["l%03d" % i for i in range(230)] + ["long"]
+    told = language.Scorer(model)([" ".join(own["l007"]), "quux wyrm xylo"])
+    assert [t[0] for t in told] == ["l007", "long"]
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 200)
+    with pytest.raises(ValueError, match="231 languages"):
+        language.train(docs, PIECES)
+
+
+def test_repeated_rows_do_not_lengthen_a_sample(spark):
+    rows = [(1, "same", "en")] * 500 + [(i, f"w{i}", "de") for i in range(500)] + [(2, "no", None)]
+    got = bounded_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 10, per="lang").collect()
+    assert sum(r.lang == "en" for r in got) <= 20 and 0 < sum(r.lang == "de" for r in got) <= 20
+    assert sum(r.lang is None for r in got) == 1
