@@ -85,6 +85,17 @@ def _interpolate_long(df: DataFrame, points: DataFrame, column: str, alias: str)
     return _along(rows.join(segments, match, "left").drop("_s"), alias)
 
 
+def curve_steps(points: DataFrame) -> DataFrame:
+    """The points (x, y) of a curve with their distance dx, dy from the point before (null for the first).
+
+    Each joins its predecessor by number, so that no task orders them all.
+    """
+    numbered = materialise(number_rows(points, ["x", "y"], "_n"), "curve")
+    before = numbered.select((F.col("_n") + 1).alias("_n"), F.col("x").alias("_x0"), F.col("y").alias("_y0"))
+    steps = numbered.join(before, "_n", "left")
+    return steps.select("x", "y", (F.col("x") - F.col("_x0")).alias("dx"), (F.col("y") - F.col("_y0")).alias("dy"))
+
+
 def compare_scores(left: DataFrame, right: DataFrame, score: str = "score", flag: str = "review_flag") -> DataFrame:
     """Both tables' score and flag side by side per id, with what differs.
 

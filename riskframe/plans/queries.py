@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions import columns as C
@@ -708,8 +708,7 @@ def calibrated_scores(spark, d):
 @query("G5_calibrator_thresholds")
 def calibrator_thresholds(spark, d):
     """One row on the whole curve; its points are at most as many as distinct validation scores."""
-    before = Window.orderBy("x")
-    steps = trained(spark, d)[0].thresholds().withColumns({"dx": F.col("x") - F.lag("x").over(before), "dy": F.col("y") - F.lag("y").over(before)})
+    steps = joins.curve_steps(trained(spark, d)[0].thresholds())
     return steps.agg(
         F.coalesce(F.min(F.col("dx") > 0), F.lit(True)).alias("x_rises"), F.coalesce(F.min(F.col("dy") >= 0), F.lit(True)).alias("y_never_falls"),
         F.min(F.col("y").between(0, 1)).alias("y_in_range"))
