@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (
-    byte_bpe, exact_dedup, language, line_dedup, packed_rows, packing, quality, simhash, topk, toxicity)
+    byte_bpe, exact_dedup, language, line_dedup, packed_rows, packing, prefix_trie, quality, simhash, topk, toxicity)
 from riskframe.llm.vocabulary import vocabulary
 
 
@@ -59,9 +59,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op5_quality_classifier,
-    op6_simhash_near_dedup, op7_best_fit_packing, op8_line_dedup, op9_exact_dedup, op10_byte_bpe)}
+    op6_simhash_near_dedup, op7_best_fit_packing, op8_line_dedup, op9_exact_dedup, op10_byte_bpe,
+    op12_prefix_trie)}
 
 SQL = {
     "op1_exact_top_k": """
@@ -89,4 +94,39 @@ SQL = {
                sha256(normal) as text_sha256
         from n window w as (partition by normal order by points desc, doc_id)
     """,
+    "op12_prefix_trie": r"""
+        with t as (
+            select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+                   row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as i
+            from conversations where conv_id is not null),
+        convs as (
+            select c, c - c % 20 as b, list_reduce(
+                list_transform(string_split(c::varchar, ''), lambda s: ascii(s)::bigint),
+                lambda crc, byte: list_reduce(
+                    [0::bigint, 0, 0, 0, 0, 0, 0, 0],
+                    lambda v, bit: case when v % 2 = 1 then xor(v // 2, 3988292384::bigint) else v // 2 end, xor(crc, byte)),
+                4294967295::bigint) as crc
+            from t group by c),
+        heads as (select c, b, xor(crc, 4294967295::bigint) % 4 as h from convs),
+        rebuilt as (
+            select heads.c, 0 as part, i, r, x from heads join t on t.c = heads.b and t.i < h
+            union all select heads.c, 1, i, r, x from heads join t on t.c = heads.c and t.i >= h),
+        lists as (select c, list({'r': r, 'x': x} order by part, i) as turns from rebuilt group by c),
+        whole as (select heads.c, coalesce(turns, []) as turns from heads left join lists using (c)),
+        prefixes as (
+            select c, d, turns[1:d] as p, d = len(turns) as ends from whole, unnest(range(0, len(turns) + 1)) as u(d)),
+        nodes as (
+            select d, p, min(c) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256,
+                   (count(*) - 1) * coalesce(len(regexp_extract_all(p[d].x, '[^\x20\x09-\x0D]+')), 0) as own_saved
+            from prefixes group by d, p),
+        shaped as (
+            select n.*, up.conv_id as parent_conv_id,
+                   (select count(*) from nodes k where k.d = n.d + 1 and k.p[1:n.d] = n.p) as n_children
+            from nodes n left join nodes up on up.d = n.d - 1 and up.p = n.p[1:n.d - 1]),
+        spread as (select p[1:a] as p, n_children = 0 as leaf, own_saved from shaped, unnest(range(0, d + 1)) as u(a)),
+        sums as (select p, count(*) filter (leaf) as n_leaves, sum(own_saved)::bigint as saved_tokens from spread group by p)
+        select conv_id, d as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        from shaped join sums using (p)
+    """,
 }
