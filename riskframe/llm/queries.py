@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (
-    byte_bpe, exact_dedup, language, line_dedup, packed_rows, packing, prefix_trie, quality, simhash, topk, toxicity)
+    byte_bpe, chat_tree, exact_dedup, language, line_dedup, packed_rows, packing, prefix_trie, quality, simhash, topk, toxicity)
 from riskframe.llm.vocabulary import vocabulary
 
 
@@ -59,6 +59,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat_tree.read_back(chat_tree.chat_tree(known.unionByName(tricky), vocabulary(spark, "byte_bpe_multi_50k.tiktoken")))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
 
@@ -66,7 +73,7 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op5_quality_classifier,
     op6_simhash_near_dedup, op7_best_fit_packing, op8_line_dedup, op9_exact_dedup, op10_byte_bpe,
-    op12_prefix_trie)}
+    op11_chat_formatting, op12_prefix_trie)}
 
 SQL = {
     "op1_exact_top_k": """
@@ -94,6 +101,25 @@ SQL = {
                sha256(normal) as text_sha256
         from n window w as (partition by normal order by points desc, doc_id)
     """,
+    "op11_chat_formatting": r"""
+        with known as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from known),
+        control as (select '[<\[]\\*(?:\|turn\|>|\|end\|>|\|im_start\|>|\|im_end\|>|/?s>|/?INST\]|<SYS>>|</SYS>>)' as p),
+        sized as (
+            select *, length(text) + len(regexp_extract_all(text, p)) + 16
+                      + length(replace(replace(role, '\', '\\'), chr(10), '\n'))
+                      + len(regexp_extract_all(replace(replace(role, '\', '\\'), chr(10), '\n'), p)) as formatted
+            from numbered, control)
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
+               sum(formatted)::bigint as formatted_chars
+        from sized group by conv_id
+    """,
     "op12_prefix_trie": r"""
         with t as (
             select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
