@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (
-    byte_bpe, chat_tree, exact_dedup, language, line_dedup, packed_rows, packing, prefix_trie, quality, simhash, topk, toxicity)
+    byte_bpe, chat_tree, exact_dedup, language, line_dedup, packed_rows, packing, prefix_trie, quality, simhash, topk, toxicity,
+    whitening)
 from riskframe.llm.vocabulary import vocabulary
 
 
@@ -70,10 +71,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_token_id_output, op4_language_id, op5_quality_classifier,
     op6_simhash_near_dedup, op7_best_fit_packing, op8_line_dedup, op9_exact_dedup, op10_byte_bpe,
-    op11_chat_formatting, op12_prefix_trie)}
+    op11_chat_formatting, op12_prefix_trie, op13_embedding_whitening)}
 
 SQL = {
     "op1_exact_top_k": """
