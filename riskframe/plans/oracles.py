@@ -275,6 +275,26 @@ FROM a JOIN b USING (top_fraction)"""),
   CASE WHEN TransactionID % 2 = 1 AND TransactionID % 31 = 0 THEN 'C1' ELSE '' END AS bad"""),
     "G8_batch_rejects": with_views("SELECT TransactionID, 'missing TransactionAmt' AS reasons FROM tx WHERE TransactionAmt IS NULL"),
     "G9_stream_rejects": with_views("SELECT TransactionID, 'missing TransactionAmt' AS reasons FROM tx WHERE TransactionAmt IS NULL"),
+    "A1_csv_malformed": with_views("""+
+lines AS (
+  SELECT *, concat(CASE WHEN TransactionID % 41 = 0 THEN '"' ELSE '' END,
+      CASE WHEN TransactionID % 43 = 0 THEN concat('"', ProductCD, ', ""so""', '"') ELSE ProductCD END) AS product,
+    concat_ws(',', TransactionID, isFraud, TransactionDT, card1, product) AS good,
+    CASE WHEN TransactionID % 31 = 0 THEN concat(good, ',more') WHEN TransactionID % 37 = 0 THEN concat_ws(',', TransactionID, TransactionDT)
+      WHEN TransactionID % 41 = 0 THEN good END AS line
+  FROM tx)
+SELECT line, CASE WHEN line IS NULL THEN TransactionID END AS TransactionID, CASE WHEN line IS NULL THEN isFraud END AS isFraud,
+  CASE WHEN line IS NULL THEN TransactionDT END AS TransactionDT, CASE WHEN line IS NULL THEN card1 END AS card1,
+  CASE WHEN line IS NULL THEN ProductCD || CASE WHEN TransactionID % 43 = 0 THEN ', "so"' ELSE '' END END AS ProductCD
+FROM lines"""),
+    "A9_strict_json_nested": with_views("""+
+numbers AS (
+  SELECT TransactionID AS i, ProductCD, coalesce(floor(TransactionAmt)::varchar, 'null') AS good,
+    CASE WHEN TransactionID % 31 = 0 OR TransactionID % 37 = 0 THEN 'null' ELSE good END AS v FROM tx)
+SELECT i AS transaction_id, concat('{"amounts":[', good, ',', v, '],"one":',
+  CASE WHEN i % 5 <> 0 THEN concat('{"value":', v, ',"kind":"', ProductCD, '"}') ELSE 'null' END,
+  ',"many":[{"deep":[', v, ',2.5],"id":', i, '}],"by_kind":{"', ProductCD, '":', v, '}}') AS input
+FROM numbers"""),
     "A2_csv_pruned_scan": _tx("TransactionID, isFraud, TransactionDT"),
     "A3_parquet_scan": "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events",
     "A4_parquet_sink": with_views(f"SELECT {_TX}, id_01, DeviceType FROM tx LEFT JOIN idn USING (TransactionID)"),

@@ -93,6 +93,29 @@ def csv_layouts(spark, d):
     return rows.select(*tx.columns, F.concat_ws(",", "bad").alias("bad"))
 
 
+def _broken_lines(tx: DataFrame) -> DataFrame:
+    """CSV lines of transactions: each 31st with a cell too many, 37th a cell short, 41st with an open quote; each 43rd with a
+    quoted cell that holds a comma and doubled quotes."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    product = F.when(F.col(ID) % 43 == 0, F.concat(F.lit('"'), text("ProductCD"), F.lit(', ""so""'), F.lit('"'))).otherwise(text("ProductCD"))
+    product = F.when(F.col(ID) % 41 == 0, F.concat(F.lit('"'), product)).otherwise(product)
+    line = F.concat_ws(",", text(ID), text(LABEL), text(TIME), F.col("card1").cast("string"), product)
+    line = F.when(F.col(ID) % 31 == 0, F.concat(line, F.lit(",more"))).when(
+        F.col(ID) % 37 == 0, F.concat_ws(",", text(ID), text(TIME))).otherwise(line)
+    return tx.select(F.col(ID), line.alias("line"))
+
+
+@query("A1_csv_malformed")
+def csv_malformed(spark, d):
+    """Good rows, and rejected lines as they are; together all lines that were written."""
+    path = fresh_path(spark, "csv")
+    lines = _broken_lines(views.transactions(spark, d))
+    lines.select(F.col("line").alias(",".join([ID, LABEL, TIME, "card1", "ProductCD"]))).write.options(
+        header=True, quote="\u0000", escapeQuotes=False, sep="\u0001").csv(path)
+    rows = tables.read_csv(spark, path, transaction_schema(), malformed="line")
+    return rows.select("line", ID, LABEL, TIME, "card1", "ProductCD")
+
+
 @query("A3_parquet_scan")
 def parquet_scan(spark, d):
     """All columns; the time as text, which both engines write alike."""
@@ -145,6 +168,19 @@ def strict_json(spark, d):
     )
 
 
+@query("A9_strict_json_nested")
+def strict_json_nested(spark, d):
+    """Structs, arrays and maps with numbers that JSON does not have."""
+    tx = views.transactions(spark, d)
+    i, number = F.col(ID), F.floor("TransactionAmt").cast("double")
+    broken = F.when(i % 31 == 0, float("nan")).when(i % 37 == 0, float("-inf")).otherwise(number)
+    nested = tx.select(
+        ID, F.array(number, broken).alias("amounts"), F.when(i % 5 != 0, F.struct(broken.alias("value"), F.col("ProductCD").alias("kind"))).alias("one"),
+        F.array(F.struct(F.array(broken.cast("float"), F.lit(2.5).cast("float")).alias("deep"), i.alias("id"))).alias("many"),
+        F.create_map(F.col("ProductCD"), broken).alias("by_kind"))
+    return nested.select(F.col(ID).alias("transaction_id"), tables.strict_json(nested, ["amounts", "one", "many", "by_kind"]))
+
+
 @query("A10_run_ledger")
 def run_ledger(spark, d):
     path = fresh_path(spark, "ledger")

@@ -38,6 +38,57 @@ def test_files_with_other_orders_and_bad_cells(spark):
     assert (rows[8].C1, rows[8].TransactionDT, rows[8].id_01, rows[8].extra, rows[8].bad) == (None, 5, "2.5", "y", [])
 
 
+LINES = ['TransactionID,C1,ProductCD', '1,2.5,W', '2,3', '3,1,W,more', '4,"1,W', '5,1,"W', '', '6,x,"a, ""b"""', '7,,', 'TransactionID,C1,ProductCD']
+
+
+def _csv(spark, lines, name="part.csv"):
+    path = fresh_path(spark, "csv")
+    table = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    table.write.text(f"{path}/a", compression="gzip" if name.endswith("gz") else "none")
+    return f"{path}/a"
+
+
+@pytest.mark.parametrize("name", ["part.csv", "part.csv.gz"])
+def test_malformed_lines_are_kept_as_they_are(spark, name):
+    path = _csv(spark, LINES, name)
+    rows = tables.read_csv(spark, path, transaction_schema(), bad_cells="bad", malformed="line").collect()
+    assert sorted(r.line for r in rows if r.line) == sorted(['2,3', '3,1,W,more', '4,"1,W', '5,1,"W'])
+    assert all((r.TransactionID, r.C1, r.ProductCD, r.bad) == (None, None, None, []) for r in rows if r.line)
+    good = {r.TransactionID: (r.C1, r.ProductCD, r.bad) for r in rows if not r.line}
+    assert good == {1: (2.5, "W", []), 6: (None, 'a, "b"', ["C1"]), 7: (None, None, [])}
+    pruned = tables.read_csv(spark, path, transaction_schema(), ["ProductCD"], malformed="line")
+    assert pruned.columns == ["ProductCD", "line"] and pruned.where("line is null").count() == 3
+
+
+def test_a_whole_scan_fails_on_a_malformed_line(spark):
+    for line in ("2,3", "3,1,W,more"):
+        with pytest.raises(Exception, match=f"malformed line: {line}"):
+            tables.read_csv(spark, _csv(spark, [LINES[0], LINES[1], line]), transaction_schema()).collect()
+    empty = _csv(spark, [])
+    with pytest.raises(ValueError, match="no CSV file"):
+        tables.read_csv(spark, empty, transaction_schema())
+
+
+def test_quotes_survive_a_round_trip(spark):
+    path = fresh_path(spark, "csv")
+    texts = ['say "hi"', '"', "a,b", 'back\\slash"', "plain"]
+    tables.write_csv(spark.createDataFrame(list(enumerate(texts)), "TransactionID long, ProductCD string"), path)
+    for option in ({}, {"malformed": "line"}):
+        back = tables.read_csv(spark, path, transaction_schema(), **option)
+        assert [r.ProductCD for r in back.orderBy("TransactionID").collect()] == texts
+
+
+def test_nested_numbers_are_strict_json(spark):
+    nan, inf = float("nan"), float("inf")
+    schema = "a array<double>, s struct<x: float, t: struct<y: array<struct<z: double>>>, n: string>, m map<string, array<double>>, k int"
+    df = spark.createDataFrame([
+        ([nan, 1.0, None], (inf, ([(nan,), (2.0,)],), "NaN"), {"p": [-inf, 3.0]}, 1), (None, None, None, None), ([], (None, None, None), {}, 2)], schema)
+    got = [json.loads(r.input, parse_constant=lambda c: pytest.fail(c)) for r in df.select(tables.strict_json(df, df.columns)).collect()]
+    assert got[0] == {"a": [None, 1.0, None], "s": {"x": None, "t": {"y": [{"z": None}, {"z": 2.0}]}, "n": "NaN"}, "m": {"p": [None, 3.0]}, "k": 1}
+    assert got[1] == {"a": None, "s": None, "m": None, "k": None}
+    assert got[2] == {"a": [], "s": {"x": None, "t": None, "n": None}, "m": {}, "k": 2}
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Conf:
         get = staticmethod(lambda name, default=None: default)
