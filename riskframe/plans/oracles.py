@@ -432,6 +432,10 @@ FROM policy""", split="tx"),
     "F1_time_since_previous": with_views(_lag("tx")),
     "F1_time_since_previous_hot": with_views(_lag("tx")),
     "F1_time_since_previous_ties": with_views(_lag("otx")),
+    "F1_time_since_previous_stream": with_views(_lag("tx")),
+    "F1_late_rows_stream": with_views("""
+SELECT TransactionID, TransactionDT, CASE WHEN split = 'val' AND TransactionDT < (SELECT max(TransactionDT) FROM sliced) THEN 'late'
+  ELSE 'rows' END AS routed_to FROM sliced""", split="tx"),
     "F2_time_split": with_views("SELECT TransactionID, TransactionDT, split FROM sliced", split="tx"),
     "F2_time_split_ties": with_views("SELECT TransactionID, TransactionDT, split FROM sliced", split="otx"),
     "F3_review_queue": _held(_queue("held", "score")),
@@ -475,6 +479,28 @@ failing AS (SELECT * REPLACE (CASE WHEN TransactionID % 211 <> 0 THEN s END AS s
 val AS (SELECT * FROM sliced WHERE split = 'val'),
 val_areas AS ({_areas('val', 'score')}), answered_areas AS ({_areas('answered', 's')}), failing_areas AS ({_areas('failing', 's')})
 {_drift('answered', 'answered', 'answered_areas')} UNION ALL {_drift('with errors', 'failing', 'failing_areas')}"""),
+    "H7_drift_windows": with_views("""+
+answers AS (
+  SELECT TransactionDT // 604800 AS w, isFraud, CASE WHEN TransactionID % 211 <> 0 THEN score END AS s, 100 + TransactionID % 60 AS e FROM tx),
+sums AS (SELECT w, s, count(*) AS cnt, sum(isFraud) AS pos FROM answers WHERE s IS NOT NULL GROUP BY w, s),
+below AS (SELECT *, sum(cnt - pos) OVER (PARTITION BY w ORDER BY s) - (cnt - pos) AS neg_below FROM sums),
+areas AS (
+  SELECT w, round(sum(pos * (cast(neg_below AS double) + cast(cnt - pos AS double) / 2))
+    / nullif(cast(sum(pos) AS double) * sum(cnt - pos), 0), 6) AS observed FROM below GROUP BY w),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY w ORDER BY e) - 1 AS r, count(*) OVER (PARTITION BY w) AS m FROM answers),
+timed AS (
+  SELECT w, count(*) AS n, count(*) FILTER (s IS NULL) AS errors, round(sum(cast(e AS double)) / 1000, 1) AS duration_s,
+    max(e) FILTER (r = least(floor(m * cast(0.5 AS double)), m - 1)) AS p50_ms,
+    max(e) FILTER (r = least(floor(m * cast(0.95 AS double)), m - 1)) AS p95_ms
+  FROM ranked GROUP BY w)
+SELECT w * 604800 AS window_from, (w + 1) * 604800 AS window_to, n, cast(0.75 AS double) AS recorded, observed,
+  cast(0.03 AS double) AS tolerance, errors = 0 AND coalesce(abs(observed - cast(0.75 AS double)) <= cast(0.03 AS double), false) AS match,
+  p50_ms, p95_ms, errors, duration_s
+FROM timed LEFT JOIN areas USING (w) WHERE (w + 1) * 604800 <= (SELECT max(TransactionDT) FROM tx)"""),
+    "G9_stream_routed": with_views("""
+SELECT TransactionID, CASE WHEN TransactionAmt IS NULL THEN 'rejected' ELSE 'scored' END AS routed_to,
+  CASE WHEN TransactionAmt IS NULL THEN 'missing TransactionAmt' ELSE '' END AS reasons, true AS as_in_table FROM tx"""),
     "H8_service_parity": with_views("+" + _compared(
         "SELECT TransactionID, round(score, 6) AS s, score >= cast(0.2 AS double) AS f FROM tx",
         """SELECT TransactionID, round(o, 6) AS s, o >= cast(0.2 AS double) AS f FROM (SELECT TransactionID, score

@@ -21,7 +21,10 @@ from riskframe.schema import (
 )
 from riskframe.session import fresh_path, materialise, remove
 from riskframe.sources import tables, views
-from riskframe.streaming.score import reject_stream, score_stream, start_scoring
+from riskframe.streaming.drift import response_counts, start_counting, window_records
+from riskframe.streaming.history import start_history, stream_history
+from riskframe.streaming.route import read_routed
+from riskframe.streaming.score import reject_stream, score_stream, start_routed_scoring, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -516,6 +519,33 @@ def history_hot(spark, d):
     return time_since_previous(views.transactions(spark, d), hot_rows=40).select(ID, *as_double(*HISTORY_KEYS))
 
 
+def in_batches(spark: SparkSession, rows: DataFrame, order: list[str]) -> DataFrame:
+    """A stream that delivers ``rows`` (with ``split``) in three micro-batches, slice by slice, which is in time order."""
+    source = fresh_path(spark, "stream-in")
+    for part in order:
+        rows.where(F.col("split") == part).drop("split").coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.drop("split").schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+@query("F1_time_since_previous_stream")
+def history_stream(spark, d):
+    """The same from keyed state, over three micro-batches."""
+    stream = in_batches(spark, stored_slices(spark, d), ["train", "val", "holdout"])
+    sink = fresh_path(spark, "history")
+    start_history(stream_history(stream), sink, fresh_path(spark, "stream-state")).awaitTermination()
+    return read_routed(spark, sink, "rows").select(ID, *as_double(*HISTORY_KEYS))
+
+
+@query("F1_late_rows_stream")
+def history_late_rows(spark, d):
+    """With the slices in another order, the rows of the middle one come late and are turned away."""
+    stream = in_batches(spark, stored_slices(spark, d), ["train", "holdout", "val"])
+    sink = fresh_path(spark, "history")
+    start_history(stream_history(stream), sink, fresh_path(spark, "stream-state")).awaitTermination()
+    named = lambda name: read_routed(spark, sink, name).select(ID, TIME, F.lit(name).alias("routed_to"))
+    return named("rows").unionByName(named("late"))
+
+
 @query("F2_time_split")
 def time_split(spark, d):
     return sliced(views.transactions(spark, d)).select(ID, TIME, "split")
@@ -567,10 +597,10 @@ def latency_ranks(spark, d):
 
 # --- evaluation and monitoring ------------------------------------------------
 
-def _responses(rows: DataFrame, failing: bool = False) -> DataFrame:
+def _responses(rows: DataFrame, failing: bool = False, carry: tuple | list = ()) -> DataFrame:
     answer = F.when(F.col(ID) % 211 != 0, F.col("score")) if failing else F.col("score")
     return rows.select(
-        ID, LABEL, answer.alias("calibrated_probability"), (F.lit(100) + F.col(ID) % 60).cast("double").alias("elapsed_ms")
+        ID, LABEL, answer.alias("calibrated_probability"), (F.lit(100) + F.col(ID) % 60).cast("double").alias("elapsed_ms"), *carry
     )
 
 
@@ -642,6 +672,16 @@ def drift_record(spark, d):
     return records[0].unionByName(records[1])
 
 
+@query("H7_drift_windows")
+def drift_windows(spark, d):
+    """A record for each closed week of a response log that comes in three micro-batches."""
+    rows = _responses(stored_slices(spark, d), failing=True, carry=[TIME, "split"])
+    stream = in_batches(spark, rows, ["train", "val", "holdout"])
+    sink = fresh_path(spark, "drift")
+    start_counting(response_counts(stream, 7 * 86400), sink, fresh_path(spark, "stream-state")).awaitTermination()
+    return window_records(read_routed(spark, sink, "counts"), 0.75)
+
+
 @query("H8_service_parity")
 def service_parity(spark, d):
     rows = views.scored(spark, d)
@@ -805,6 +845,21 @@ def stream_rejects(spark, d):
     return spark.read.parquet(sink).select(ID, F.concat_ws(",", "reasons").alias("reasons"))
 
 
+@query("G9_stream_routed")
+def stream_routed(spark, d):
+    """Where each row of three micro-batches went, and whether its score is that of the row scored in a table."""
+    artifacts, _, _ = trained(spark, d)
+    stream = in_batches(spark, sliced(views.transactions(spark, d)).drop(LABEL), ["train", "val", "holdout"])
+    sink = fresh_path(spark, "routed")
+    start_routed_scoring(stream, artifacts, sink, fresh_path(spark, "stream-state")).awaitTermination()
+    alone = artifacts.score(views.transactions(spark, d), history=False).select(ID, F.col("calibrated_probability").alias("alone"))
+    scored = read_routed(spark, sink, "scored").join(alone, ID, "left")
+    same = F.coalesce(F.col("alone") == F.col("calibrated_probability"), F.lit(False))
+    rejected = read_routed(spark, sink, "rejected")
+    return scored.select(ID, F.lit("scored").alias("routed_to"), F.lit("").alias("reasons"), same.alias("as_in_table")).unionByName(
+        rejected.select(ID, F.lit("rejected").alias("routed_to"), F.concat_ws(",", "reasons").alias("reasons"), F.lit(True).alias("as_in_table")))
+
+
 @query("G8_batch_rejects")
 def batch_rejects(spark, d):
     return ml.rejects(views.transactions(spark, d)).select(ID, F.concat_ws(",", "reasons").alias("reasons"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from riskframe.plans.features import split_valid
+from riskframe.plans.features import default_id, split_valid
 from riskframe.plans.model import Artifacts, rejects
+from riskframe.streaming.route import start_routing
 
 
 def score_stream(stream: DataFrame, artifacts: Artifacts, threshold: float | None = None) -> DataFrame:
@@ -32,3 +33,17 @@ def start_scoring(scored: DataFrame, path: str, checkpoint: str, **trigger) -> S
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_routed_scoring(
+    stream: DataFrame, artifacts: Artifacts, path: str, checkpoint: str, threshold: float | None = None, **trigger
+) -> StreamingQuery:
+    """Scores and rejected rows of each micro-batch, from one read of it, as tables ``scored`` and ``rejected`` of ``route``.
+
+    Every row is in one of the two. Unlike two streams over one source, both are always committed up to the same row.
+    """
+    def split(batch: DataFrame) -> dict[str, DataFrame]:
+        valid, rejected = split_valid(default_id(batch))
+        return {"scored": artifacts.score(valid, history=False, threshold=threshold), "rejected": rejected}
+
+    return start_routing(stream, split, path, checkpoint, **trigger)
