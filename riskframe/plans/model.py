@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -239,11 +239,26 @@ def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The ensemble as it stood after ``rounds`` rounds: its own first trees with their weights, nothing is fitted."""
+    if not 1 <= rounds <= model.getNumTrees:
+        raise ValueError(f"{rounds} of {model.getNumTrees} trees")
+    java, jvm = model._java_obj, SparkSession.active()._jvm
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    gateway = SparkSession.active().sparkContext._gateway
+    trees, weights = gateway.new_array(kind, rounds), gateway.new_array(jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(list(java.trees())[:rounds], model.treeWeights)):
+        trees[i], weights[i] = tree, float(weight)
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, model.numFeatures, model.numClasses)
+    return GBTClassificationModel(cut.copy(java.extractParamMap()))
+
+
 def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = TreeSettings()) -> tuple[PipelineModel, int]:
     """Boosted trees on the ``train`` rows and their number, which the ``val`` rows choose.
 
     The library's own early stop has no patience, so trees are grown in runs of doubled length until the best round is
-    known, and once more up to it; the same seed grows the same first trees.  Positives weigh as much as negatives in
+    known; the last run is then cut to its first trees.  Positives weigh as much as negatives in
     total.  Category indexes come from the training rows only; unseen and missing values share one extra index.
     """
     spark = prepared.sparkSession
@@ -277,7 +292,8 @@ def fit_trees(prepared: DataFrame, inputs: Inputs, settings: TreeSettings = Tree
         assembled = PipelineModel(model.stages[:-1]).transform(val)
         best, known = best_round(model.stages[-1].evaluateEachIteration(assembled), settings.patience)
         if known or rounds == settings.trees:
-            return (model if best == rounds else grow(best)), best
+            trees = first_trees(model.stages[-1], best)
+            return PipelineModel([*model.stages[:-1], trees]), best
         rounds = min(settings.trees, 2 * rounds)
 
 

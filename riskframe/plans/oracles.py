@@ -251,7 +251,7 @@ ORACLES: dict[str, str] = {
     "A8_model_store": with_views("SELECT count(*) AS n_ids, cast(0 AS bigint) AS n_mismatches FROM tx"),
     "F7_feature_importance": "SELECT cast(i AS integer) AS rank, true AS share_in_range, true AS gain_counts FROM range(1, 16) t(i)",
     "G1_train_trees": _held(
-        "SELECT count(*) AS n, cast(sum(isFraud) AS bigint) AS n_positive, true AS better_than_chance, true AS rounds_within_limit FROM held"),
+        "SELECT count(*) AS n, cast(sum(isFraud) AS bigint) AS n_positive, true AS better_than_chance, true AS ranks_well, true AS rounds_within_limit FROM held"),
     "G1_model_inputs": _feat("+ texts AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS name, '{route}' AS route, count(DISTINCT {value}) AS n_values FROM fit" for c, route, value in (
             ("ProductCD", "short list", "ProductCD"), ("M4", "short list", "M4"), ("card1", "code and count", "card1"),

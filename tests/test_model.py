@@ -22,6 +22,24 @@ def test_quality_floor(model):
     assert scores.count() == artifacts.split.n_holdout
 
 
+def test_first_trees_equal_a_shorter_fit(spark, monkeypatch):
+    tx = views.transactions(spark, "/root/testdata/sf0.001")
+    fits = []
+    fit = ml.GBTClassifier._fit
+    monkeypatch.setattr(ml.GBTClassifier, "_fit", lambda self, rows: fits.append(self.getMaxIter()) or fit(self, rows))
+    whole, features = ml.train(tx, settings=ml.TreeSettings(trees=6, patience=6, depth=3))
+    assert fits == [6]  # one run, and no second one up to the best round
+    short, _ = ml.train(tx, settings=ml.TreeSettings(trees=4, patience=6, depth=3))
+    model = whole.trees.stages[-1]
+    for k in range(1, min(model.getNumTrees, short.best_iteration) + 1):
+        a, b = ml.first_trees(model, k), ml.first_trees(short.trees.stages[-1], k)
+        assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1] and a.treeWeights == b.treeWeights
+    cut = ml.first_trees(model, 1)
+    assert cut.getNumTrees == 1 and cut.numFeatures == model.numFeatures and cut.getStepSize() == model.getStepSize()
+    with pytest.raises(ValueError):
+        ml.first_trees(model, 0)
+
+
 def test_maps_and_categories_know_training_rows_only(spark):
     tx = views.transactions(spark, "/root/testdata/sf0.001")
     last = tx.agg(F.max("TransactionDT")).first()[0]
