@@ -201,21 +201,41 @@ def apply_dictionary(rows: DataFrame, dictionary: DataFrame, column: str, alias:
 
 def apply_vocabulary(
     rows: DataFrame, vocabulary: DataFrame, n_rows: dict[str, int], broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, unique_id: str | None = None,
 ) -> DataFrame:
     """``{c}_code``, ``{c}_seen`` and ``{c}_missing`` for each text column of ``n_rows`` (column → number of its values).
 
     Values not in the vocabulary have code -1 and were seen 0 times; so have missing ones, which the flag tells apart.
+    Columns whose vocabulary is too large to broadcast are looked up together, see ``_look_up_beside``, if ``unique_id``
+    names a column that tells all rows apart; else ``rows`` is shuffled for each of them.
     """
     large = [c for c, n in n_rows.items() if n > broadcast_rows]
-    hot = dict(zip(large, hot_tables(rows, [[c] for c in large], hot_rows))) if large and not rows.isStreaming else {}
-    out = rows
+    beside = large if unique_id and not rows.isStreaming else []
+    out = _look_up_beside(rows, vocabulary, {c: n_rows[c] for c in beside}, hot_rows, unique_id) if beside else rows
+    salted = [c for c in large if c not in beside]
+    hot = dict(zip(salted, hot_tables(rows, [[c] for c in salted], hot_rows))) if salted and not rows.isStreaming else {}
     for c, n in n_rows.items():
-        own = vocabulary.where(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("code").cast("double").alias("_code"), F.col("seen").cast("double").alias("_seen"))
-        out = lookup_join(out, own, [c], n, broadcast_rows, hot_rows, hot=hot.get(c), spread_by=rows.columns[0])
-        out = out.withColumns({
-            f"{c}_code": F.coalesce("_code", F.lit(-1.0)), f"{c}_seen": F.coalesce("_seen", F.lit(0.0)),
-            f"{c}_missing": F.col(c).isNull().cast("double"),
-        }).drop("_code", "_seen")
-    return out
+        if c not in beside:
+            own = vocabulary.where(F.col("column") == c).select(
+                F.col("value").alias(c), F.col("code").cast("double").alias(f"{c}_code"), F.col("seen").cast("double").alias(f"{c}_seen"))
+            out = lookup_join(out, own, [c], n, broadcast_rows, hot_rows, hot=hot.get(c), spread_by=rows.columns[0])
+    unseen = {f"{c}_{kind}": F.coalesce(f"{c}_{kind}", F.lit(value)) for c in n_rows for kind, value in (("code", -1.0), ("seen", 0.0))}
+    return out.withColumns({**unseen, **{f"{c}_missing": F.col(c).isNull().cast("double") for c in n_rows}})
+
+
+def _look_up_beside(
+    rows: DataFrame, vocabulary: DataFrame, n_rows: dict[str, int], hot_rows: int, unique_id: str
+) -> DataFrame:
+    """``{c}_code`` and ``{c}_seen`` of several columns from one join of (id, column, value) with the vocabulary.
+
+    What moves by value is that narrow table, with its hot values spread; its results are gathered by id, and ``rows``
+    moves once, by id, or not at all if that is how it already lies.
+    """
+    columns = list(n_rows)
+    values = rows.select(unique_id, *columns).unpivot([unique_id], columns, "_column", "_value").where(F.col("_value").isNotNull())
+    own = vocabulary.where(F.col("column").isin(columns)).select(
+        F.col("column").alias("_column"), F.col("value").alias("_value"), F.col("code").cast("double"), F.col("seen").cast("double"))
+    coded = lookup_join(values, own, ["_column", "_value"], sum(n_rows.values()), 0, hot_rows, spread_by=unique_id)
+    gathered = coded.groupBy(unique_id).agg(*[
+        F.max(F.when(F.col("_column") == c, F.col(kind))).alias(f"{c}_{kind}") for c in columns for kind in ("code", "seen")])
+    return rows.join(gathered.hint("shuffle_hash"), unique_id, "left")

@@ -63,12 +63,15 @@ class Inputs:
         text = [f"{c}_{kind}" for c in self.coded for kind in ("code", "seen", "missing")]
         return [*self.sentinels, *[f"{c}_missing" for c in self.flagged], *[f"{c}_index" for c in self.categories], *text]
 
-    def prepare(self, features: DataFrame, keep: Sequence[str], vocabulary: DataFrame) -> DataFrame:
+    def prepare(
+        self, features: DataFrame, keep: Sequence[str], vocabulary: DataFrame, unique_id: str | None = None
+    ) -> DataFrame:
+        """``unique_id``, one of ``keep``, tells all rows apart; then large vocabularies do not move whole rows."""
         rows = align(features, self.trained, keep)
         numbers = [F.coalesce(F.col(c).cast("double"), F.lit(v)).alias(c) for c, v in self.sentinels.items()]
         flags = [F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in self.flagged]
         narrow = rows.select(*keep, *numbers, *flags, *self.categories, *self.coded)
-        return apply_vocabulary(narrow, vocabulary, self.coded).drop(*self.coded)
+        return apply_vocabulary(narrow, vocabulary, self.coded, unique_id=unique_id).drop(*self.coded)
 
 
 def fit_inputs(train: DataFrame, categories: Sequence[str] | None = None) -> Inputs:
@@ -128,10 +131,11 @@ class Artifacts:
     vocabulary: DataFrame
     best_iteration: int = 0
 
-    def raw_scores(self, features: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
+    def raw_scores(self, features: DataFrame, keep: Sequence[str] = (ID,), unique_ids: bool = False) -> DataFrame:
         """Uncalibrated probability of the positive class, as ``raw``."""
         kept = {f"_kept_{c}": F.col(c) for c in keep}
-        scored = self.trees.transform(self.inputs.prepare(features.withColumns(kept), list(kept), self.vocabulary))
+        by = f"_kept_{ID}" if unique_ids and ID in keep else None
+        scored = self.trees.transform(self.inputs.prepare(features.withColumns(kept), list(kept), self.vocabulary, by))
         return scored.select(
             *[F.col(f"_kept_{c}").alias(c) for c in keep], vector_to_array("probability")[1].alias("raw")
         )
@@ -140,11 +144,11 @@ class Artifacts:
         return self.calibrator.transform(raw)
 
     def score_features(
-        self, features: DataFrame, keep: Sequence[str] = (ID,), threshold: float | None = None
+        self, features: DataFrame, keep: Sequence[str] = (ID,), threshold: float | None = None, unique_ids: bool = False
     ) -> DataFrame:
         """Calibrated ``score`` and ``review_flag``; the flag uses the unrounded score."""
         limit = self.policy["fitted_cutoff"] if threshold is None else threshold
-        return self.calibrate(self.raw_scores(features, keep)).withColumn(
+        return self.calibrate(self.raw_scores(features, keep, unique_ids)).withColumn(
             "review_flag", review_flag(F.col("score"), limit)
         )
 
@@ -160,7 +164,7 @@ class Artifacts:
         if unique_ids:
             require_unique(valid)
         features = build_features(valid, self.encodings, history, unique_ids)
-        scored = self.score_features(features, threshold=threshold)
+        scored = self.score_features(features, threshold=threshold, unique_ids=unique_ids)
         return scored.select(ID, F.round("score", 6).alias("calibrated_probability"), "review_flag")
 
     def input_table(self) -> DataFrame:
@@ -343,7 +347,7 @@ def train(
     inputs = fit_inputs(in_train, categories)
     vocabulary = fit_vocabulary(in_train, inputs, f"{path}/vocabulary")
     fitting = features.where(F.col("split") != "holdout")
-    prepared = materialise(inputs.prepare(fitting, [ID, LABEL, "split"], vocabulary), "prepared", partition_by=["split"])
+    prepared = materialise(inputs.prepare(fitting, [ID, LABEL, "split"], vocabulary, ID if unique_ids else None), "prepared", partition_by=["split"])
     trees, best = fit_trees(prepared, inputs, settings)
 
     artifacts = Artifacts(inputs, trees, None, encodings, {}, split, path, vocabulary, best)

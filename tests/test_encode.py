@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,34 @@ def test_dictionary_codes_follow_text_order(spark):
     assert got == {("card1", "10"): 0, ("card1", "200"): 1, ("card1", "9"): 2, ("ProductCD", "W"): 0}
     applied = by_id(encode.apply_dictionary(df, codes, "ProductCD", "code"))
     assert [applied[i].code for i in (1, 3)] == [0, None]
+
+
+def _coded(spark, n=300):
+    names = [f"t{i}" for i in range(130)]
+    values = lambda i: [None if (i + k) % 11 == 0 else f"v{i % (k % 7 + 2)}" for k in range(130)]
+    df = spark.createDataFrame([(i, float(i), *values(i)) for i in range(n)], "id bigint, x double, " + ", ".join(f"{c} string" for c in names))
+    vocabulary = encode.fit_dictionary(df.where("id < 200"), names[:6], counts=True)
+    from riskframe.session import materialise
+
+    return df, materialise(vocabulary, "vocabulary"), names[:6]
+
+
+def test_large_vocabularies_are_looked_up_beside_wide_rows(spark):
+    df, vocabulary, names = _coded(spark)
+    sizes = dict.fromkeys(names, 10) | {"t3": 2_000_000, "t5": 3_000_000}
+    plain = encode.apply_vocabulary(df, vocabulary, dict.fromkeys(names, 10))
+    for unique_id in ("id", None):
+        wide = encode.apply_vocabulary(df, vocabulary, sizes, hot_rows=50, unique_id=unique_id)
+        assert wide.count() == 300 and wide.select(plain.columns).exceptAll(plain).isEmpty()
+
+
+def test_no_shuffle_carries_the_wide_row_twice(spark):
+    df, vocabulary, names = _coded(spark)
+    sizes = dict.fromkeys(names, 2_000_000)
+    out = encode.apply_vocabulary(df, vocabulary, sizes, unique_id="id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    carried = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line and "t129" in " ".join(lines[i:i + 2])]
+    assert len(carried) <= 1 and len(re.findall(r"Exchange hashpartitioning\(id", plan)) == 2
+    again = out.join(df.select("id", "x").withColumnRenamed("x", "y"), "id")  # rows lie by id already
+    assert len(re.findall(r"Exchange hashpartitioning\(id", again._jdf.queryExecution().executedPlan().toString())) <= 3
