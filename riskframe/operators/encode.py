@@ -18,6 +18,7 @@ from riskframe.operators.positions import number_rows
 from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, hot_tables, lookup_join
 from riskframe.schema import ACCOUNT_KEYS, FREQUENCY_KEYS, GROUP_KEYS
 from riskframe.session import fresh_path, materialise, together
+from riskframe.sources import versions
 
 _SUMS = ["n", "n_amt", "sum_amt"]
 # The finest key sets; every other map is a sum over one of them.
@@ -91,16 +92,19 @@ class Encodings:
 
 
 def fit_encodings(train: DataFrame, path: str | None = None) -> Encodings:
-    """Fit every map on the rows given, and write them below ``path``.
+    """Fit every map on the rows given, and replace those at ``path`` by them, all at once (see ``versions``).
 
     Two passes shuffle partial sums of the rows: by account and by card and
     e-mail.  The coarser maps are sums of those two tables.
     """
     path = path or fresh_path(train.sparkSession, "encodings")
+    version = versions.begin(path)
+
     def write(name: str) -> None:
-        _sums(train, _BASES[name]).write.mode("overwrite").parquet(f"{path}/{name}")
+        _sums(train, _BASES[name]).write.parquet(f"{version}/{name}")
 
     together(*[partial(write, name) for name in _BASES])
+    versions.publish(train.sparkSession, path, version)
     return load_encodings(train.sparkSession, path)
 
 
@@ -110,6 +114,8 @@ def load_encodings(spark: SparkSession, path: str, broadcast_rows: int = BROADCA
     While a base table is small enough to broadcast, its size bounds the size of
     every coarser map.  Beyond that the coarser maps are written once and counted.
     """
+    path = versions.resolve(spark, path)
+
     def read(name: str) -> tuple[DataFrame, int]:
         table = spark.read.parquet(f"{path}/{name}")
         return table, table.count()

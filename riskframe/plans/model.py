@@ -25,6 +25,7 @@ from riskframe.plans.features import (
 )
 from riskframe.schema import ID, IMPORTANCE_ROWS, LABEL, SEED, SHORT_LISTS
 from riskframe.session import fresh_path, materialise, shared_folder
+from riskframe.sources import versions
 
 # Values that a declared short list may have; trees keep one histogram for each.
 SHORT_VALUES = 63
@@ -106,11 +107,9 @@ def fit_inputs(train: DataFrame, categories: Sequence[str] | None = None) -> Inp
 def fit_vocabulary(train: DataFrame, inputs: Inputs, path: str) -> DataFrame:
     """Writes (column, value, code, seen) of the coded text columns, and notes in ``inputs`` how many values each has."""
     spark = train.sparkSession
-    if inputs.coded:
-        fit_dictionary(train, list(inputs.coded), counts=True).write.mode("overwrite").parquet(path)
-    else:
-        spark.createDataFrame([], _VOCABULARY).write.mode("overwrite").parquet(path)
-    vocabulary = spark.read.schema(_VOCABULARY).parquet(path)
+    fitted = fit_dictionary(train, list(inputs.coded), counts=True) if inputs.coded else spark.createDataFrame([], _VOCABULARY)
+    versions.replace_table(fitted, path)
+    vocabulary = versions.read_table(spark, path, _VOCABULARY)
     sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}
     inputs.coded = {c: sizes[c] for c in inputs.coded}
     return vocabulary
@@ -186,32 +185,34 @@ class Artifacts:
         return importance_table(dict(zip(self.inputs.columns(), gains)), top)
 
     def save(self, path: str | None = None) -> str:
-        path = path or self.path
-        self.trees.write().overwrite().save(f"{path}/trees")
-        self.calibrator.write().overwrite().save(f"{path}/calibrator")
+        """Replace what is stored at ``path`` by these artifacts, all at once (see ``versions``)."""
+        path, spark = path or self.path, SparkSession.active()
+        version = versions.begin(path)
+        self.trees.write().save(f"{version}/trees")
+        self.calibrator.write().save(f"{version}/calibrator")
         settings = json.dumps({
             "inputs": vars(self.inputs), "policy": self.policy, "split": self.split.to_dict(),
             "best_iteration": self.best_iteration,
         })
-        spark = SparkSession.active()
-        self.encodings.copy_to(f"{path}/maps")
-        if path.rstrip("/") != self.path.rstrip("/"):
-            self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+        self.encodings.copy_to(f"{version}/maps")
+        self.vocabulary.write.parquet(f"{version}/vocabulary")
+        spark.createDataFrame([(settings,)], "value string").coalesce(1).write.text(f"{version}/settings")
+        versions.publish(spark, path, version)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Artifacts:
-        settings = json.loads(spark.read.text(f"{path}/settings").first().value)
+        stored = versions.current(spark, path)
+        settings = json.loads(spark.read.text(f"{stored}/settings").first().value)
         return cls(
             Inputs(**settings["inputs"]),
-            PipelineModel.load(f"{path}/trees"),
-            IsotonicRegressionModel.load(f"{path}/calibrator"),
-            load_encodings(spark, f"{path}/maps"),
+            PipelineModel.load(f"{stored}/trees"),
+            IsotonicRegressionModel.load(f"{stored}/calibrator"),
+            load_encodings(spark, f"{stored}/maps"),
             settings["policy"],
             TimeSplit.from_dict(settings["split"]),
             path,
-            spark.read.schema(_VOCABULARY).parquet(f"{path}/vocabulary"),
+            spark.read.schema(_VOCABULARY).parquet(f"{stored}/vocabulary"),
             settings["best_iteration"],
         )
 

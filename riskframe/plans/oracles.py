@@ -526,3 +526,8 @@ SELECT in_queue, count(*) AS n_rows, cast(sum(isFraud) AS bigint) AS n_positive,
   round(avg(time_since_prev_card1_addr1), 4) AS mean_time_since_prev_card1_addr1
 FROM ranked GROUP BY in_queue"""),
 }
+ORACLES |= {
+    "A7_split_store_buckets": ORACLES["F2_time_split"],
+    "C1_identity_join_buckets": ORACLES["C1_identity_join"],
+    "C6_score_comparison_buckets": ORACLES["C6_score_comparison"],
+}

@@ -20,7 +20,7 @@ from riskframe.schema import (
     numeric_family_columns, transaction_schema,
 )
 from riskframe.session import fresh_path, materialise, remove
-from riskframe.sources import tables, views
+from riskframe.sources import buckets, tables, views
 from riskframe.streaming.drift import response_counts, start_counting, window_records
 from riskframe.streaming.history import start_history, stream_history
 from riskframe.streaming.route import read_routed
@@ -157,6 +157,14 @@ def split_store(spark, d):
     return tables.read_parquet(spark, path)
 
 
+@query("A7_split_store_buckets")
+def split_store_buckets(spark, d):
+    """The stored slices beside the rows they belong to, both in buckets by id."""
+    rows = views.transactions(spark, d)
+    stored = _bucketed(spark, sliced(rows).select(ID, "split"), "split")
+    return _bucketed(spark, rows.select(ID, TIME), "tx").join(stored, ID)
+
+
 @query("A9_strict_json")
 def strict_json(spark, d):
     tx = views.transactions(spark, d)
@@ -278,6 +286,19 @@ def identity_join(spark, d):
     return joins.join_identity(views.transactions(spark, d), views.identities(spark, d))
 
 
+def _bucketed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Stored in buckets by id, and read back by its path."""
+    path = fresh_path(spark, name)
+    buckets.store_bucketed(rows, path, 8)
+    return buckets.read_bucketed(spark, path)
+
+
+@query("C1_identity_join_buckets")
+def identity_join_buckets(spark, d):
+    """The same of tables that lie in buckets by id: no row moves."""
+    return joins.join_identity(_bucketed(spark, views.transactions(spark, d), "tx"), _bucketed(spark, views.identities(spark, d), "idn"))
+
+
 @query("C2_frequency_lookup")
 def frequency_lookup(spark, d):
     rows, train = encoded_rows(spark, d)
@@ -325,6 +346,13 @@ def score_comparison(spark, d):
     return compared.withColumn("mismatch", joins.is_mismatch())
 
 
+@query("C6_score_comparison_buckets")
+def score_comparison_buckets(spark, d):
+    rows = views.scored(spark, d)
+    left, right = (_bucketed(spark, _flagged(rows, *names), "scores") for names in (("score", "addr1"), ("masked", "P_emaildomain")))
+    return joins.compare_scores(left, right).withColumn("mismatch", joins.is_mismatch())
+
+
 # --- projections --------------------------------------------------------------
 
 def row_query(name: str, build: Callable[[DataFrame], list]) -> None:
@@ -820,7 +848,7 @@ def streamed(spark: SparkSession, d: str) -> DataFrame:
     artifacts, _, _ = trained(spark, d)
     source, sink = fresh_path(spark, "stream-in"), fresh_path(spark, "stream-out")
     tx = views.transactions(spark, d).drop(LABEL)
-    tables.write_parquet(tx, source)
+    tx.write.parquet(source)
     stream = spark.readStream.schema(tx.schema).parquet(source)
     start_scoring(score_stream(stream, artifacts), sink, fresh_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(sink)
@@ -840,7 +868,7 @@ def stream_rejects(spark, d):
     """What the scoring stream turns away, with the reasons."""
     source, sink = fresh_path(spark, "stream-in"), fresh_path(spark, "stream-out")
     tx = views.transactions(spark, d).drop(LABEL)
-    tables.write_parquet(tx, source)
+    tx.write.parquet(source)
     stream = spark.readStream.schema(tx.schema).parquet(source)
     start_scoring(reject_stream(stream), sink, fresh_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(sink).select(ID, F.concat_ws(",", "reasons").alias("reasons"))

@@ -15,6 +15,7 @@ from riskframe.plans import report
 from riskframe.plans.features import mask_history
 from riskframe.schema import AMOUNT, ID, LABEL, TIME
 from riskframe.session import materialise
+from riskframe.sources import versions
 from riskframe.sources.tables import write_report
 
 
@@ -31,8 +32,7 @@ def clean_tables(transactions: DataFrame, identity: DataFrame, path: str) -> Dat
     if not joins.duplicate_keys(transactions).isEmpty():
         raise ValueError(f"transaction table repeats {ID}")
     merged = joins.join_identity(transactions, identity, unique_identity=True)
-    merged.write.mode("overwrite").parquet(path)
-    return transactions.sparkSession.read.schema(merged.schema).parquet(path)
+    return versions.replace_table(merged, path)
 
 
 def time_range(rows: DataFrame, name: str) -> DataFrame:

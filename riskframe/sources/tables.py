@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import finite_or_null, nan_to_null
+from riskframe.sources import versions
 
 _FLOATING = (T.DoubleType, T.FloatType)
 
@@ -129,12 +130,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """A table written by ``write_parquet``, in its current version, or any parquet files."""
+    df = spark.read.parquet(versions.resolve(spark, path))
     return nulls_for_nan(normalise_names(df.select(*columns) if columns else df))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    """Replace the table at ``path``, which ``df`` may read; a job that fails leaves the old one, see ``versions``."""
+    versions.replace_table(df, path, partition_by)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -76,6 +76,16 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 
 
+def resolve(spark: SparkSession, path: str) -> str:
+    """The current version of a versioned folder; any other path (a file, a pattern, a plain folder) as it is."""
+    if re.search(r"[*?{\[]", path):
+        return path
+    fs, folder = _fs(spark, path)
+    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory() or pointed(spark, path) is None:
+        return path
+    return current(spark, path)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Replace the table at ``path``; ``df`` may read the old one. Returns the new version."""
     version = begin(path)
