@@ -83,17 +83,16 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "op1_exact_top_k": """
         with v as (
-            select vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::double)::bigint)) as v
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v, row_number() over () as row
             from embeddings
             where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-            group by vec_id),
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
-            select q.vec_id as query_id, c.vec_id as vec_id,
+            select q.row, q.vec_id as query_id, c.vec_id as vec_id,
                    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-            from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+            from v q join v c on q.vec_id % 100 = 0 and q.row <> c.row and len(q.v) = len(c.v))
         select query_id, rank, vec_id, score
-        from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+        from (select *, row_number() over (partition by row order by score desc, vec_id)::int as rank from s)
         where rank <= 10
     """,
     "op9_exact_dedup": r"""

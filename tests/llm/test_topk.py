@@ -12,35 +12,66 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def by_force(rows, every, k):
-    held = {}
+    held = []
     for vec_id, v in rows:
         if vec_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        v = [math.floor(1024 * float(np.float32(x))) for x in v]
-        held[vec_id] = min(v, held.get(vec_id, v))
+        held.append((vec_id, [math.floor(1024 * float(np.float32(x))) for x in v]))
     out = []
-    for q, v in held.items():
+    for i, (q, v) in enumerate(held):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in held.items() if c != q and len(w) == len(v))
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for j, (c, w) in enumerate(held) if j != i and len(w) == len(v))
             out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
 
-def test_odd_vectors(spark):
+def test_odd_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(0, 0.1, 8)]) for i in range(400)]
     rows += [(i, [0.25] * 8) for i in range(400, 700)]  # one common vector, so that scores tie
     rows += [(700, None), (None, [0.1] * 8), (701, [0.1, None] + [0.0] * 6), (702, [float("nan")] * 8),
-             (800, [float("inf")] * 8), (900, [0.5] * 3), (901, [0.25] * 3), (1000, []), (1001, []), (5, [0.3] * 8), (5, [0.3] * 8)]
+             (800, [float("inf")] * 8), (900, [0.5] * 3), (901, [0.25] * 3), (1000, []), (1001, []), (5, [0.3] * 8), (5, [0.3] * 8),
+             (10, [0.31] * 8), (10, [-0.2] * 8), (20, [0.25] * 8), (20, [0.25] * 8)]  # ids repeat, with equal and other vectors
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     df = df.selectExpr("*", "1 as rank", "'x' as shard")
-    old = topk.SHARD_ROWS, topk.BLOCK_ROWS, topk.LEAF_ROWS
-    topk.SHARD_ROWS, topk.BLOCK_ROWS = 150, 20
-    try:
-        got = sorted(tuple(r) for r in topk.top_k(df, every=10, k=7).collect())
-    finally:
-        topk.SHARD_ROWS, topk.BLOCK_ROWS, topk.LEAF_ROWS = old
-    assert got == by_force(rows, 10, 7)
+    want = by_force(rows, 10, 7)
+    monkeypatch.setattr(topk, "SHARD_ROWS", 150)
+    assert sorted(tuple(r) for r in topk.top_k(df, every=10, k=7).collect()) == want
+    monkeypatch.setattr(topk, "MOST_BOXES", 1)  # too many shards to send their boxes round
+    assert sorted(tuple(r) for r in topk.top_k(df, every=10, k=7).collect()) == want
+
+
+def test_the_other_row_of_an_id_is_a_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (5, [0.5, 0.0]), (5, [0.9, 0.0]), (7, [0.0, 1.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert [(r.rank, r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(1, 5, 921 * 1024), (2, 5, 512 * 1024), (3, 7, 0)]
+
+
+def test_median_cuts_part_space_evenly():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(-500, 500, (4000, 3))
+    nodes = topk.median_cuts(rows, 8)
+    assert np.bincount(topk.leaf_of(nodes, rows)).tolist() == pytest.approx([500] * 8, abs=60)
+    same = np.full((100, 3), 7)
+    assert set(topk.leaf_of(topk.median_cuts(same, 8), same).tolist()) == {0}
+
+
+def test_a_tree_moves_once_and_far_shards_see_no_query(spark, monkeypatch):
+    """Two far clusters: the queries of one do not reach the shards of the other, and no tree is sent twice."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in (1.0 if i % 2 else -1.0) + rng.normal(0, 0.05, 4)]) for i in range(800)]
+    monkeypatch.setattr(topk, "SHARD_ROWS", 200)
+    sent, search = [], topk._searched
+
+    def spy(trees, queries, tasks, k):
+        sent.append((trees.count(), trees.select("dim", "shard").distinct().count(), queries.count()))
+        return search(trees, queries, tasks, k)
+
+    monkeypatch.setattr(topk, "_searched", spy)
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=10).collect())
+    assert got == by_force(rows, 10, 10)
+    (trees, shards, home), (again, _, others) = sent
+    assert trees == again == shards and home == 80 and others < 80 * (shards - 1) / 1.5
 
 
 def test_no_vectors(spark):
