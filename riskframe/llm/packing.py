@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import map_steps
+from riskframe.llm.common import map_steps, small
 from riskframe.llm.packing_plan import plan
 from riskframe.llm.word_tokens import word_ids
 from riskframe.session import materialise
@@ -64,6 +64,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     packed = plan(counts, capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = small(materialise(base, "bases"))  # it grows with tasks and lengths, so it is counted first
     ranked = cut.join(base, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("base"))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from riskframe.llm import byte_bpe, packed_rows, packing, packing_plan, queries, word_tokens
+from riskframe.llm import byte_bpe, common, packed_rows, packing, packing_plan, queries, word_tokens
 
 SMALL = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -115,6 +115,17 @@ def test_packing_loses_nothing_and_is_tight(spark, long_documents):
     assert least <= len(by) <= plain + 1
 
 
+def test_packing_is_the_same_without_a_broadcast(spark, long_documents, monkeypatch):
+    rows = lambda: sorted(tuple(r) for r in packing.pack(long_documents.coalesce(3), WORDS, 256).collect())
+    want = rows()
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows() == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_documents_pack_to_nothing(spark):
     empty = documents(spark, [])
     assert packing.pack(empty, WORDS).count() == 0
