@@ -116,7 +116,7 @@ def test_packing_loses_nothing_and_is_tight(spark, long_documents):
 
 
 def test_packing_is_the_same_without_a_broadcast(spark, long_documents, monkeypatch):
-    rows = lambda: sorted(tuple(r) for r in packing.pack(long_documents.coalesce(3), WORDS, 256).collect())
+    rows = lambda: sorted((tuple(r) for r in packing.pack(long_documents.coalesce(3), WORDS, 256).collect()), key=str)
     want = rows()
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
