@@ -34,14 +34,26 @@ Position = tuple[float | int, int]
 _LITERAL_RANGES = 32
 
 
+@dataclass(frozen=True)
+class Order:
+    """An order by key, then tie, and the 0-based positions wanted of it, given its number of rows."""
+
+    key: str
+    tie: str
+    wanted: Callable[[int], Iterable[int]]
+    descending: bool = False
+
+
 @dataclass
 class _Range:
-    """Consecutive positions of the order: where they start and what they span.
+    """Consecutive positions of an order: where they start and what they span.
 
     A range holds all rows with a key between its ends, or, where the ends are
-    one key, all rows of that key with a tie between its ends.
+    one key, all rows of that key with a tie between its ends.  Orders that are
+    searched together stand behind each other, so a start names one range only.
     """
 
+    order: int
     start: int
     count: int
     low: Position
@@ -60,7 +72,7 @@ class _Range:
 
     def contains(self) -> Column:
         column, low, high = self.varying
-        inside = F.col(column).between(F.lit(low), F.lit(high))
+        inside = (F.col("_order") == self.order) & F.col(column).between(F.lit(low), F.lit(high))
         return inside if column == "_key" else inside & (F.col("_key") == F.lit(self.low[0]))
 
     def width(self, buckets: int) -> float | int:
@@ -100,53 +112,100 @@ def order_statistics(
     take no position.  ``buckets`` bounds every histogram and ``fetch_rows``
     bounds what is sorted at the end, whatever the size of ``df``.
     """
-    floating = isinstance(df.schema[key].dataType, (T.DoubleType, T.FloatType))
-    sort_key = F.col(key).cast("double" if floating else "long")
-    narrow = df.where(F.col(key).isNotNull()).select(
-        (-sort_key if descending else sort_key).alias("_key"), F.col(tie).cast("long").alias("_tie")
+    return order_statistics_of(df, [Order(key, tie, wanted, descending)], buckets, fetch_rows)[0]
+
+
+def order_statistics_of(
+    df: DataFrame, orders: list[Order], buckets: int = 4096, fetch_rows: int = 4096
+) -> list[tuple[int, dict[int, Position]]]:
+    """``order_statistics`` of several orders of the same rows, in the passes of one.
+
+    Every row is counted for each order before anything is shuffled; the bounds
+    hold for all orders together.  Orders by whole numbers and orders by floating
+    ones are two searches, as neither kind can stand in for the other exactly.
+    """
+    kinds = [isinstance(df.schema[o.key].dataType, (T.DoubleType, T.FloatType)) for o in orders]
+    out: list[tuple[int, dict[int, Position]]] = [(0, {})] * len(orders)
+    for floating in sorted(set(kinds)):
+        alike = [i for i, kind in enumerate(kinds) if kind == floating]
+        for i, found in zip(alike, _search_alike(df, [orders[i] for i in alike], floating, buckets, fetch_rows)):
+            out[i] = found
+    return out
+
+
+def _search_alike(
+    df: DataFrame, orders: list[Order], floating: bool, buckets: int, fetch_rows: int
+) -> list[tuple[int, dict[int, Position]]]:
+    keys, ties = (list(dict.fromkeys(names)) for names in ([o.key for o in orders], [o.tie for o in orders]))
+    some_key = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
+    held = df.where(some_key).select(
+        *[F.col(k).cast("double" if floating else "long").alias(f"_key{i}") for i, k in enumerate(keys)],
+        *[F.col(t).cast("long").alias(f"_tie{i}") for i, t in enumerate(ties)],
     )
-    # Two columns, read by every pass; a lost block is computed again from df.
-    narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    # The columns that every pass reads; a lost block is computed again from df.
+    held.persist(StorageLevel.MEMORY_AND_DISK)
+    entries = []
+    for i, o in enumerate(orders):
+        key = F.col(f"_key{keys.index(o.key)}")
+        entries.append(F.struct(
+            F.lit(i).alias("_order"), (-key if o.descending else key).alias("_key"),
+            F.col(f"_tie{ties.index(o.tie)}").alias("_tie"),
+        ))
+    entry = entries[0] if len(entries) == 1 else F.explode(F.array(*entries))
+    narrow = held.select(entry.alias("_e")).select("_e.*").where(F.col("_key").isNotNull())
     try:
-        n, found = _search(narrow, wanted, floating, buckets, fetch_rows)
+        counts, found = _search(narrow, [o.wanted for o in orders], buckets, fetch_rows)
     finally:
-        narrow.unpersist()
-    return n, {p: (-k if descending else k, t) for p, (k, t) in found.items()}
+        held.unpersist()
+    results, base = [], 0
+    for o, n in zip(orders, counts):
+        of_order = {p - base: at for p, at in found.items() if base <= p < base + n}
+        results.append((n, {p: (-k if o.descending else k, t) for p, (k, t) in of_order.items()}))
+        base += n
+    return results
 
 
 def _search(
-    narrow: DataFrame, wanted: Callable[[int], Iterable[int]], floating: bool, buckets: int, fetch_rows: int
-) -> tuple[int, dict[int, Position]]:
+    narrow: DataFrame, wanted: list[Callable[[int], Iterable[int]]], buckets: int, fetch_rows: int
+) -> tuple[list[int], dict[int, Position]]:
+    """Rows of each order, and the positions found, counted through all orders."""
     spans = [
         F.count("*").alias("n"),
         F.min("_key").alias("k0"), F.max("_key").alias("k1"),
         F.min("_tie").alias("t0"), F.max("_tie").alias("t1"),
     ]
-    total = narrow.agg(*spans).first()
-    positions = sorted({int(p) for p in wanted(total.n)})
-    if not positions:
-        return total.n, {}
-    if positions[0] < 0 or positions[-1] >= total.n:
-        raise ValueError(f"positions {positions[0]}..{positions[-1]} outside 0..{total.n - 1}")
+    totals = {row["_order"]: row for row in narrow.groupBy("_order").agg(*spans).collect()}
+    counts = [totals[i].n if i in totals else 0 for i in range(len(wanted))]
+    bases = [sum(counts[:i]) for i in range(len(wanted))]
+    ranges = []
+    for i, (n, base) in enumerate(zip(counts, bases)):
+        positions = sorted({int(p) for p in wanted[i](n)})
+        if not positions:
+            continue
+        if positions[0] < 0 or positions[-1] >= n:
+            raise ValueError(f"positions {positions[0]}..{positions[-1]} outside 0..{n - 1}")
+        t = totals[i]
+        ranges.append(_Range(i, base, n, (t.k0, t.t0), (t.k1, t.t1), [base + p for p in positions]))
 
     found: dict[int, Position] = {}
-    ranges = [_Range(0, total.n, (total.k0, total.t0), (total.k1, total.t1), positions)]
-    rows = narrow.withColumn("_start", F.lit(0).cast("long"))
+    starts = F.array(*[F.lit(base).cast("long") for base in bases])
+    rows = narrow.withColumn("_start", F.element_at(starts, F.col("_order") + 1))
     while True:
         for r in ranges:
             if r.single_value:
                 found.update(dict.fromkeys(r.wanted, r.low))
-        if all(r.single_value for r in ranges):
-            return total.n, found
-        if sum(r.count for r in ranges if not r.single_value) <= fetch_rows:
-            return total.n, found | _fetch(narrow, rows, [r for r in ranges if not r.single_value])
+        ranges = [r for r in ranges if not r.single_value]
+        if not ranges:
+            return counts, found
+        if sum(r.count for r in ranges) <= fetch_rows:
+            return counts, found | _fetch(narrow, rows, ranges)
         rows = _bucketed(narrow, rows, ranges, max(16, buckets // len(ranges)))
         histogram = sorted(rows.groupBy("_start", "_bucket").agg(*spans).collect())
         ranges, kept = _narrow(ranges, histogram)
         if len(ranges) > _LITERAL_RANGES:
             table = _small_table(rows, kept, "_start bigint, _bucket bigint, _next bigint")
             rows = rows.join(F.broadcast(table), ["_start", "_bucket"]).select(
-                F.col("_next").alias("_start"), "_key", "_tie"
+                F.col("_next").alias("_start"), "_order", "_key", "_tie"
             )
 
 
@@ -159,7 +218,7 @@ def _bucketed(narrow: DataFrame, rows: DataFrame, ranges: list[_Range], buckets:
     if len(ranges) <= _LITERAL_RANGES:
         return narrow.select(
             _one_of(ranges, lambda r: F.lit(r.start).cast("long")).alias("_start"),
-            _one_of(ranges, lambda r: r.bucket(buckets)).alias("_bucket"), "_key", "_tie",
+            _one_of(ranges, lambda r: r.bucket(buckets)).alias("_bucket"), "_order", "_key", "_tie",
         ).where(F.col("_start").isNotNull())
     cuts = [
         dict(_start=r.start, _by_key=r.varying[0] == "_key", _low=r.varying[1], _low_tie=int(r.low[1]), _width=r.width(buckets))
@@ -176,21 +235,21 @@ def _bucketed(narrow: DataFrame, rows: DataFrame, ranges: list[_Range], buckets:
     by_key = F.floor((F.col("_key") - F.col("_low")) / F.col("_width")).cast("long")
     by_tie = F.floor((F.col("_tie") - F.col("_low_tie")) / F.col("_width_tie")).cast("long")
     return rows.join(F.broadcast(table), "_start").select(
-        "_start", F.when(F.col("_by_key"), by_key).otherwise(by_tie).alias("_bucket"), "_key", "_tie"
+        "_start", F.when(F.col("_by_key"), by_key).otherwise(by_tie).alias("_bucket"), "_order", "_key", "_tie"
     )
 
 
 def _narrow(ranges: list[_Range], histogram: list) -> tuple[list[_Range], list[dict]]:
     """The buckets that hold a wanted position become the next ranges."""
     narrowed, kept = [], []
-    wanted_in = {r.start: r.wanted for r in ranges}
+    range_at = {r.start: r for r in ranges}
     for start, hist in itertools.groupby(histogram, key=lambda h: h["_start"]):
         first = start
         for h in hist:
-            inside = [p for p in wanted_in[start] if first <= p < first + h.n]
+            inside = [p for p in range_at[start].wanted if first <= p < first + h.n]
             if inside:
                 kept.append(dict(_start=start, _bucket=h["_bucket"], _next=first))
-                narrowed.append(_Range(first, h.n, (h.k0, h.t0), (h.k1, h.t1), inside))
+                narrowed.append(_Range(range_at[start].order, first, h.n, (h.k0, h.t0), (h.k1, h.t1), inside))
             first += h.n
     return narrowed, kept
 

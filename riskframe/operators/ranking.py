@@ -6,11 +6,12 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import exact_mean
-from riskframe.operators.positions import at_or_before, evenly_spaced, order_statistics, pick_positions
+from riskframe.operators.positions import (
+    Order, Position, at_or_before, evenly_spaced, order_statistics, order_statistics_of, pick_positions)
 from riskframe.schema import (
     CALIBRATION_BINS, CHECK_POSITIVES, CHECK_ROWS, EXAMPLE_ROWS, ID, LABEL, POLICY_FRACTION,
     REVIEW_FRACTIONS, TIME, VERIFICATION_ROWS,
@@ -22,50 +23,69 @@ def top_size(n: int, fraction: float) -> int:
     return max(1, round(n * fraction))
 
 
+Found = tuple[int, dict[int, Position]]
+
+
+def queue_order(score: str = "score", fractions: Sequence[float] = REVIEW_FRACTIONS) -> Order:
+    """The last row of each queue size."""
+    return Order(score, ID, lambda n: [top_size(n, f) - 1 for f in fractions] if n else [], descending=True)
+
+
+def queue_counts(
+    found: Found, score: str = "score", label: str = LABEL, fractions: Sequence[float] = REVIEW_FRACTIONS,
+    prefix: str = "_",
+) -> list[Column]:
+    """Aggregates that ``queue_rows`` reads: positives, and those inside each queue."""
+    n, at = found
+    if not n:
+        raise ValueError("no scored rows")
+    positive = (F.col(label) == 1) & F.col(score).isNotNull()
+    return [F.count(F.when(positive, 1)).alias(f"{prefix}positives")] + [
+        F.count(F.when(positive & at_or_before(score, ID, at[top_size(n, f) - 1], descending=True), 1)).alias(f"{prefix}tp{i}")
+        for i, f in enumerate(fractions)
+    ]
+
+
+def queue_rows(
+    found: Found, fractions: Sequence[float] = REVIEW_FRACTIONS, digits: int = 4, prefix: str = "_"
+) -> Column:
+    """The queue table of one aggregated row, as an array of structs, one for each queue size."""
+    positives = F.nullif(F.col(f"{prefix}positives"), F.lit(0))
+
+    def entry(i: int, fraction: float) -> Column:
+        size, caught = F.lit(top_size(found[0], fraction)).cast("long"), F.col(f"{prefix}tp{i}")
+        return F.struct(
+            F.lit(float(fraction)).alias("top_fraction"), size.alias("n_reviewed"), caught.alias("true_positives"),
+            F.round(caught / size, digits).alias("precision"), F.round(caught / positives, digits).alias("recall"),
+        )
+
+    return F.array(*[entry(i, f) for i, f in enumerate(fractions)])
+
+
 def review_queue(
     scored: DataFrame, score: str = "score", label: str = LABEL, fractions: Sequence[float] = REVIEW_FRACTIONS,
     digits: int = 4,
 ) -> DataFrame:
     """Precision and recall of the highest-scored rows, for each queue size; rows without a score count for nothing."""
-    n, at = order_statistics(
-        scored, score, ID, lambda n: [top_size(n, f) - 1 for f in fractions] if n else [], descending=True
-    )
-    if not n:
-        raise ValueError("no scored rows")
-    sizes = {f: top_size(n, f) for f in fractions}
-    positive = (F.col(label) == 1) & F.col(score).isNotNull()
-    sums = scored.agg(
-        F.count(F.when(positive, 1)).alias("_positives"),
-        *[
-            F.count(F.when(positive & at_or_before(score, ID, at[k - 1], descending=True), 1)).alias(f"_tp{i}")
-            for i, k in enumerate(sizes.values())
-        ],
-    )
-    entries = F.array(*[
-        F.struct(F.lit(float(f)).alias("top_fraction"), F.lit(k).cast("long").alias("n_reviewed"),
-                 F.col(f"_tp{i}").alias("true_positives"))
-        for i, (f, k) in enumerate(sizes.items())
-    ])
-    tp, positives = F.col("true_positives"), F.nullif(F.col("_positives"), F.lit(0))
-    return sums.select("_positives", F.explode(entries).alias("e")).select(
-        "e.*",
-        F.round(tp / F.col("e.n_reviewed"), digits).alias("precision"),
-        F.round(F.col("e.true_positives") / positives, digits).alias("recall"),
-    )
+    (found,) = order_statistics_of(scored, [queue_order(score, fractions)])
+    counted = scored.agg(*queue_counts(found, score, label, fractions))
+    return counted.select(F.inline(queue_rows(found, fractions, digits)))
 
 
 def bin_edges(n: int, bins: int) -> list[int]:
     return np.linspace(0, n, bins + 1).astype(int).tolist()
 
 
+def bin_order(score: str = "score", bins: int = CALIBRATION_BINS) -> Order:
+    """The last row of each bin."""
+    return Order(score, ID, lambda n: [edge - 1 for edge in bin_edges(n, bins)[1:] if edge > 0])
+
+
 def calibration_table(
-    scored: DataFrame, score: str = "score", label: str = LABEL, bins: int = CALIBRATION_BINS
+    scored: DataFrame, score: str = "score", label: str = LABEL, bins: int = CALIBRATION_BINS, found: Found | None = None
 ) -> DataFrame:
-    """Mean score and observed rate in bins of consecutive score positions."""
-    def last_rows(n: int) -> list[int]:
-        return [edge - 1 for edge in bin_edges(n, bins)[1:] if edge > 0]
-
-    n, at = order_statistics(scored, score, ID, last_rows)
+    """Mean score and observed rate in bins of consecutive score positions; ``found`` holds them if they are known."""
+    n, at = found or order_statistics_of(scored, [bin_order(score, bins)])[0]
     edges = bin_edges(n, bins)
     number = F.lit(None).cast("int")
     for i in range(bins, 0, -1):
@@ -111,10 +131,8 @@ def first_in_time(rows: DataFrame, n: int = VERIFICATION_ROWS) -> DataFrame:
 
 def top_overlap(rows: DataFrame, first: str, second: str, fraction: float = POLICY_FRACTION) -> DataFrame:
     """Share of the top rows by one score that are top rows by the other too."""
-    def last_of(score: str):
-        return order_statistics(rows, score, ID, lambda n: [top_size(n, fraction) - 1], descending=True)
-
-    (n, a), (_, b) = together(lambda: last_of(first), lambda: last_of(second))
+    last = [Order(score, ID, lambda n: [top_size(n, fraction) - 1], descending=True) for score in (first, second)]
+    (n, a), (_, b) = order_statistics_of(rows, last)
     k = top_size(n, fraction)
     in_both = at_or_before(first, ID, a[k - 1], descending=True) & at_or_before(second, ID, b[k - 1], descending=True)
     return rows.agg(F.count(F.when(in_both, 1)).alias("n_both")).select(

@@ -119,3 +119,16 @@ def test_areas_with_ranges_from_an_exchange(spark):
     dealt = metrics.ranking_areas(rows, range_rows=10, most_ranges=1).first()
     assert (dealt.n, dealt.n_positive) == (listed.n, listed.n_positive)
     assert abs(dealt.roc_auc - listed.roc_auc) < 1e-12 and abs(dealt.average_precision - listed.average_precision) < 1e-12
+
+
+def test_areas_of_two_scores_are_those_of_each(spark):
+    rows = spark.range(400).selectExpr(
+        "cast(id * 37 % 90 as double) / 90 as a", "if(id % 9 = 0, null, cast(id * 11 % 70 as double)) as b",
+        "cast(null as double) as c", "cast(id % 7 = 0 as int) as isFraud")
+    for options in ({}, {"range_rows": 10, "most_ranges": 1}):
+        both = metrics.ranking_areas_of(rows, {"x": "a", "y": "b", "z": "c"}, **options).first()
+        for name, column in (("x", "a"), ("y", "b"), ("z", "c")):
+            alone = metrics.ranking_areas(rows, column).first()
+            for got, want in zip(both[name], alone):
+                assert got is want is None or got == pytest.approx(want, abs=1e-12)
+    assert both["z"].n == 0 and both["z"].roc_auc is None

@@ -1,8 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from riskframe.operators.positions import evenly_spaced, number_rows, order_statistics, pick_positions
+from riskframe.operators import positions
+from riskframe.operators.positions import (
+    Order, evenly_spaced, number_rows, order_statistics, order_statistics_of, pick_positions)
 
 
 def frame(spark, rows, kind="bigint"):
@@ -67,3 +70,37 @@ def test_number_rows(spark):
     got = [(r.k, r.id) for r in sorted(out, key=lambda r: r.pos)]
     assert sorted(r.pos for r in out) == list(range(200))
     assert got == expected(rows, False)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double"])
+def test_several_orders_in_one_search(spark, kind, monkeypatch):
+    rng = random.Random(4)
+    value = lambda: None if rng.random() < 0.1 else (3 if rng.random() < 0.3 else rng.randrange(0, 900))
+    rows = [(value(), value(), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "a long, b long, id long").repartition(3)
+    df = df.withColumns({"a": df.a.cast(kind), "b": df.b.cast(kind), "none": (df.a * 0).cast("string").cast(kind)})
+    df = df.withColumn("none", F.when(F.lit(False), df.none))
+    every = lambda n: range(0, n, 31)
+    orders = [
+        Order("a", "id", every, True), Order("a", "id", every), Order("b", "id", lambda n: [n - 1]),
+        Order("none", "id", every), Order("b", "id", lambda n: []),
+    ]
+    single = [order_statistics(df, o.key, o.tie, o.wanted, o.descending, 64, 10) for o in orders]
+    searches = []
+    search = positions._search
+    monkeypatch.setattr(positions, "_search", lambda *args: searches.append(1) or search(*args))
+    assert order_statistics_of(df, orders, buckets=64, fetch_rows=10) == single
+    assert len(searches) == 1 and single[3] == (0, {}) and single[4][1] == {}
+    for down, column, (n, at) in ((True, 0, single[0]), (False, 0, single[1]), (False, 1, single[2])):
+        want = expected([(r[column], r[2]) for r in rows if r[column] is not None], down)
+        assert n == len(want) and at == {p: want[p] for p in at}
+
+
+def test_orders_of_both_kinds_are_exact(spark):
+    far = 2**53
+    df = spark.createDataFrame([(far + i, i / 4, i) for i in range(40)], "a long, b double, id long")
+    whole, floating = order_statistics_of(
+        df, [Order("a", "id", lambda n: [1, 38]), Order("b", "id", lambda n: [0, 39], True)], buckets=16, fetch_rows=4
+    )
+    assert whole == (40, {1: (far + 1, 1), 38: (far + 38, 38)})
+    assert floating == (40, {0: (39 / 4, 39), 39: (0.0, 0)})
