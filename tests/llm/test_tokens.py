@@ -202,3 +202,17 @@ def test_packed_rows_give_the_documents_back(spark, long_documents, tmp_path):
             found.append((doc_id, start, ids[a:b].tolist()))
     want = [(d, at, ids[at:at + 256]) for d, ids in all_ids(long_documents, library) for at in range(0, len(ids), 256)]
     assert sorted(map(str, found)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("group_tokens", [packed_rows.GROUP_TOKENS, 50_000])
+def test_packed_rows_hardly_depend_on_partitions(spark, group_tokens, monkeypatch):
+    monkeypatch.setattr(packed_rows, "GROUP_TOKENS", group_tokens)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen = set()
+    for parts in (1, 8, 64):
+        rows = packed_rows.packed_rows(docs.repartition(parts), WORDS).select("sequence_id", "cu_seqlens", "doc_ids", "starts").collect()
+        assert len({r.sequence_id for r in rows}) == len(rows)
+        tokens = sum(r.cu_seqlens[-1] for r in rows)
+        assert len(rows) <= -(-tokens // 4096) * 1.01 + 1 + tokens // group_tokens  # each group may leave a row part empty
+        seen.add((tokens, tuple(sorted(p for r in rows for p in zip(r.doc_ids, r.starts)))))
+    assert len(seen) == 1
