@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import types as T
 
 # --- Fixed values: results depend on them being exactly these -----------------
@@ -68,23 +66,37 @@ HISTORY_KEYS = {
 
 ID, TIME, AMOUNT, LABEL = "TransactionID", "TransactionDT", "TransactionAmt", "isFraud"
 
-# First matching rule names the family of a column.
-FAMILY_RULES = [
-    ("identity", r"^id_"),
-    ("card", r"^card"),
-    ("addr", r"^addr"),
-    ("dist", r"^dist"),
-    ("email", r"(?i)emaildomain"),
-    ("C", r"^C\d+$"),
-    ("D", r"^D\d+$"),
-    ("M", r"^M\d+$"),
-    ("V", r"^V\d+$"),
-    ("device", r"^Device(Type|Info)$"),
+_TEXT, _NUMBER, _WHOLE = T.StringType(), T.DoubleType(), T.LongType()
+
+
+def _numbered(stem: str, last: int, kind: T.DataType = _NUMBER) -> dict[str, T.DataType]:
+    return {f"{stem}{i}": kind for i in range(1, last + 1)}
+
+
+# The columns of each table in file order, under the family they belong to.
+_TRANSACTION = [
+    ("other", {"ProductCD": _TEXT}),
+    ("card", dict.fromkeys(CARD_COLUMNS, _NUMBER) | {"card1": _WHOLE, "card4": _TEXT, "card6": _TEXT}),
+    ("addr", _numbered("addr", 2)),
+    ("dist", _numbered("dist", 2)),
+    ("email", {"P_emaildomain": _TEXT, "R_emaildomain": _TEXT}),
+    ("C", _numbered("C", 14)),
+    ("D", _numbered("D", 15)),
+    ("M", _numbered("M", 9, _TEXT)),
+    ("V", _numbered("V", 339)),
+]
+_IDENTITY = [
+    ("identity", {
+        name: _NUMBER if name in NUMERIC_IDENTITY_COLUMNS else _TEXT for name in (f"id_{i:02d}" for i in range(1, 39))
+    }),
+    ("device", {"DeviceType": _TEXT, "DeviceInfo": _TEXT}),
 ]
+_FAMILY_OF = {name: family for family, columns in _TRANSACTION + _IDENTITY for name in columns}
 
 
 def column_family(name: str) -> str:
-    return next((family for family, rule in FAMILY_RULES if re.search(rule, name)), "other")
+    """The family a table declares the column under; columns of no table are "other"."""
+    return _FAMILY_OF.get(name, "other")
 
 
 def numeric_family_columns(columns: list[str]) -> list[str]:
@@ -92,35 +104,16 @@ def numeric_family_columns(columns: list[str]) -> list[str]:
     return [c for family in ("V", "C", "D") for c in columns if column_family(c) == family]
 
 
-def _struct(columns: dict[str, T.DataType]) -> T.StructType:
+def _struct(own: dict[str, T.DataType], families: list[tuple[str, dict[str, T.DataType]]]) -> T.StructType:
     required = {ID, TIME}
+    columns = own | {name: kind for _, family in families for name, kind in family.items()}
     return T.StructType([T.StructField(n, t, n not in required) for n, t in columns.items()])
 
 
 def transaction_schema(labelled: bool = True) -> T.StructType:
-    text = {"ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain"}
-    names = (
-        ["ProductCD", *CARD_COLUMNS, "addr1", "addr2", "dist1", "dist2", "P_emaildomain", "R_emaildomain"]
-        + [f"C{i}" for i in range(1, 15)]
-        + [f"D{i}" for i in range(1, 16)]
-        + [f"M{i}" for i in range(1, 10)]
-        + [f"V{i}" for i in range(1, 340)]
-    )
-    columns: dict[str, T.DataType] = {ID: T.LongType()}
-    if labelled:
-        columns[LABEL] = T.IntegerType()
-    columns |= {TIME: T.LongType(), AMOUNT: T.DoubleType()}
-    for name in names:
-        is_text = name in text or column_family(name) == "M"
-        columns[name] = T.StringType() if is_text else T.DoubleType()
-    columns["card1"] = T.LongType()
-    return _struct(columns)
+    label = {LABEL: T.IntegerType()} if labelled else {}
+    return _struct({ID: _WHOLE} | label | {TIME: _WHOLE, AMOUNT: _NUMBER}, _TRANSACTION)
 
 
 def identity_schema() -> T.StructType:
-    columns: dict[str, T.DataType] = {ID: T.LongType()}
-    for i in range(1, 39):
-        name = f"id_{i:02d}"
-        columns[name] = T.DoubleType() if name in NUMERIC_IDENTITY_COLUMNS else T.StringType()
-    columns |= {"DeviceType": T.StringType(), "DeviceInfo": T.StringType()}
-    return _struct(columns)
+    return _struct({ID: _WHOLE}, _IDENTITY)
