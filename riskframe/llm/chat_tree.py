@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import byte_bpe, turns
-from riskframe.llm.common import small_batches
+from riskframe.llm.common import small, small_batches
 from riskframe.llm.turns import KEY
 from riskframe.session import materialise
 
@@ -45,7 +45,7 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape(text: str) -> str:
-    return re.sub(_ESCAPED, r"\1\2\3", text)
+    return re.sub(_ESCAPED, r"\1\2\3", text) if "\\" in text else text
 
 
 def unescape_role(role: str) -> str:
@@ -54,8 +54,10 @@ def unescape_role(role: str) -> str:
 
 @dataclass
 class ChatTree:
-    """``nodes``: segment, depth, start, end (of its tokens in the stream), ids, position_ids, loss_from and loss_to (offsets
-    of the trained tokens in ids), n_convs (conversations through it).
+    """``tokens``: _row, segment, ids, loss_from and loss_to (offsets of the trained tokens in ids) of each node; within a
+    segment they stand in the order of _row.
+    ``places``: _row, segment, depth, start, end (of the node's tokens in the stream), position (id of its first token),
+    n_convs (conversations through it).
     ``segments``: segment, start, end, position (id of its first token), attends (segment, start, end of each interval of
     earlier segments, in order).
     ``conversations``: conv_id, n_turns, segment and depth of its last node.
@@ -63,11 +65,19 @@ class ChatTree:
     A segment is named by the conversation whose turns it holds. All are written tables.
     """
 
-    nodes: DataFrame
+    tokens: DataFrame
+    places: DataFrame
     segments: DataFrame
     conversations: DataFrame
     path: str
 
+    @property
+    def nodes(self) -> DataFrame:
+        """segment, depth, start, end, ids, position_ids, loss_from, loss_to, n_convs: tokens beside their places."""
+        rows = self.places.join(self.tokens.drop("segment"), "_row")
+        position_ids = F.sequence("position", F.col("position") + F.col("end") - F.col("start") - 1)
+        return rows.select("segment", "depth", "start", "end", "ids", position_ids.alias("position_ids"), "loss_from", "loss_to", "n_convs")
+
 
 def _members(stored: DataFrame, seed: int) -> DataFrame:
     """conv_id, depth, the name of the prefix and of the one a turn shorter, the hashes and place of the last turn, ends."""
@@ -82,19 +92,22 @@ def _members(stored: DataFrame, seed: int) -> DataFrame:
 
 
 def _encoded(nodes: DataFrame, stored: DataFrame, path: str) -> DataFrame:
-    """segment, depth, n_convs, ids, loss_from, loss_to, n_tokens of each node; written."""
-    texts = nodes.select("_row", F.col("conv_id").alias("segment"), "depth", "n_convs").join(stored.select("_row", "role", "text"), "_row")
-    trained = F.col("role") == TRAINED_ROLE
-    texts = texts.select("segment", "depth", "n_convs", trained.alias("trained"), escape("text").alias("text"),
-                         F.concat(escape_role("role"), F.lit("\n")).alias("role"))
-    rows = byte_bpe.encode(texts, path, "role").withColumnRenamed("ids", "role_ids").drop("offsets")
-    rows = byte_bpe.encode(rows, path, "text").drop("offsets")
-    first = F.size("role_ids") + 1
+    """_row, segment, ids, loss_from, loss_to, n_tokens of each node; written.
+
+    A conversation owns its path from some turn on, so a text meets one row for each owner; roles are encoded once each.
+    """
+    owners = materialise(nodes.groupBy("conv_id").agg(F.min("_row").alias("first")), "owners")
+    owned = stored.join(small(owners), "conv_id").filter(F.col("_row") >= F.col("first"))
+    roles = stored.select("role").distinct().select("role", F.concat(escape_role("role"), F.lit("\n")).alias("heading"))
+    roles = materialise(byte_bpe.encode(roles, path, "heading").select("role", F.col("ids").alias("role_ids")), "roles")
+    texts = owned.select("_row", F.col("conv_id").alias("segment"), "role", escape("text").alias("text"))
+    rows = byte_bpe.encode(texts, path, "text").drop("offsets").join(small(roles), "role")
+    first, trained = F.size("role_ids") + 1, F.col("role") == TRAINED_ROLE
     mark = lambda i: F.array(F.lit(_marks(path)[i]).cast("int"))
     return materialise(rows.select(
-        "segment", "depth", "n_convs", F.concat(mark(0), "role_ids", "ids", mark(1)).alias("ids"), first.alias("loss_from"),
-        (first + F.when(F.col("trained"), F.size("ids")).otherwise(0)).alias("loss_to"),
-        (first + F.size("ids") + 1).cast("long").alias("n_tokens")), "encoded")
+        "_row", "segment", F.concat(mark(0), "role_ids", "ids", mark(1)).alias("ids"), first.alias("loss_from"),
+        (first + F.when(trained, F.size("ids")).otherwise(0)).alias("loss_to"),
+        (first + F.size("ids") + 1).cast("long").alias("n_tokens")), "tokens")
 
 
 @cache
@@ -119,9 +132,9 @@ def chat_tree(conversations: DataFrame, path: str) -> ChatTree:
         if nodes.filter("apart").isEmpty():
             break
     encoded = _encoded(nodes, stored, path)
-    lengths = turns.dealt(encoded.select("segment", "depth", "n_tokens"), [F.col("segment"), F.col("depth")], "lengths")
-    inside = materialise(turns.running_sums(lengths, "segment", ["n_tokens"]).select(
-        "segment", "depth", "n_tokens", F.col("run_n_tokens").alias("upto")), "inside")
+    upto = turns.running_sums(encoded.select("_row", "segment", "n_tokens"), "segment", ["n_tokens"])
+    inside = materialise(upto.join(nodes.select("_row", "depth", "n_convs"), "_row").select(
+        "_row", "segment", "depth", "n_tokens", F.col("run_n_tokens").alias("upto"), "n_convs"), "inside")
 
     key = ["depth", *KEY]
     named = nodes.select(*key, F.col("conv_id").alias("segment"))
@@ -154,35 +167,46 @@ def chat_tree(conversations: DataFrame, path: str) -> ChatTree:
 
     at = inside.join(segments.select("segment", F.col("start").alias("first"), "position"), "segment").withColumn(
         "before", F.col("upto") - F.col("n_tokens"))
-    placed = encoded.drop("n_tokens").join(at, ["segment", "depth"])
-    start, position = F.col("first") + F.col("before"), F.col("position") + F.col("before")
-    out = placed.select(
-        "segment", "depth", start.alias("start"), (start + F.col("n_tokens")).alias("end"), "ids",
-        F.sequence(position, position + F.col("n_tokens") - 1).alias("position_ids"), "loss_from", "loss_to", "n_convs")
-    return ChatTree(materialise(out, "stream"), segments, materialise(whole, "conversations"), path)
-
-
-def _paths(tree: ChatTree) -> DataFrame:
-    """For each different conversation, named by its last node (segment, depth), the nodes that it reads, by its intervals."""
-    last = tree.conversations.select("segment", "depth").distinct()
-    ends = tree.nodes.select("segment", "depth", F.col("end").alias("stop"))
-    last = last.join(ends, ["segment", "depth"]).join(tree.segments.select("segment", "start", "attends"), "segment")
-    own = F.array(F.struct("segment", "start", F.col("stop").alias("end")))
-    read = last.select(F.col("segment").alias("of"), F.col("depth").alias("to"), F.explode(F.concat("attends", own)).alias("part"))
-    read = read.select("of", "to", F.col("part.segment").alias("segment"), F.col("part.end").alias("stop"))
-    parts = tree.nodes.select("segment", "start", "end", "ids", F.col("position_ids")[0].alias("position"), "loss_from", "loss_to")
-    return read.join(parts, "segment").filter("end <= stop").drop("stop", "segment", "end")
+    places = at.select(
+        "_row", "segment", "depth", (F.col("first") + F.col("before")).alias("start"), (F.col("first") + F.col("upto")).alias("end"),
+        (F.col("position") + F.col("before")).alias("position"), "n_convs")
+    return ChatTree(encoded.drop("n_tokens"), materialise(places, "places"), segments, materialise(whole, "conversations"), path)
+
+
+def _reading(tree: ChatTree) -> DataFrame:
+    """What each segment ``of`` reads, in the order (of, own, at, ends): the nodes that it attends to, then its own; behind a
+    node that is some conversation's last, a row with ``ends`` and the number of tokens up to there as ``position``.
+
+    A segment's own tokens move once and meet no other table; attended ones are looked up by a narrow one.
+    """
+    read = tree.segments.select(F.col("segment").alias("of"), F.explode("attends").alias("part"))
+    read = read.select("of", F.col("part.segment").alias("segment"), F.col("part.end").alias("stop"))
+    above = read.join(tree.places.select("_row", "segment", "end", "position"), "segment").filter("end <= stop")
+    above = materialise(above.select("of", "_row", "position"), "attended")
+    last = tree.conversations.select("segment", "depth").distinct().join(tree.places, ["segment", "depth"])
+    nothing = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    yes, no = F.lit(True).alias("ends"), F.lit(False).alias("ends")
+    attended = tree.tokens.drop("segment").join(small(above), "_row").select(
+        "of", F.lit(0).alias("own"), F.col("position").alias("at"), no, "position", nothing("depth", "bigint"), "ids", "loss_from", "loss_to")
+    own = tree.tokens.select(
+        F.col("segment").alias("of"), F.lit(1).alias("own"), F.col("_row").alias("at"), no, nothing("position", "bigint"),
+        nothing("depth", "bigint"), "ids", "loss_from", "loss_to")
+    ends = last.select(
+        F.col("segment").alias("of"), F.lit(1).alias("own"), F.col("_row").alias("at"), yes,
+        (F.col("position") + F.col("end") - F.col("start")).alias("position"), "depth", nothing("ids", "array<int>"),
+        nothing("loss_from", "int"), nothing("loss_to", "int"))
+    return attended.unionByName(own).unionByName(ends)
 
 
 def read_back(tree: ChatTree) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of every conversation, from the stream alone.
 
-    Conversations that are equal as a whole are read once. Their tokens are taken by the intervals, in the order of the
-    position ids, which must be without gap, and parsed; a worker holds one turn at a time.
+    A segment's tokens are read once, behind those it attends to, for all conversations that end in it. Position ids must
+    be without gap; a worker holds one turn at a time.
     """
     path = tree.path
-    rows = _paths(tree).repartition("of", "to").sortWithinPartitions("of", "to", "position")
-    rows = rows.select("of", "to", "position", "ids", "loss_from", "loss_to")
+    order = ["of", "own", "at", "ends"]
+    rows = _reading(tree).repartition("of").sortWithinPartitions(*order)
 
     def run(batches):
         ranks = byte_bpe.read_ranks(path)
@@ -192,17 +216,19 @@ def read_back(tree: ChatTree) -> DataFrame:
         tokens += [TURN.encode(), END.encode()]
         reader = None
         for batch in batches:
-            done = []
-            for of, to, position, ids, a, b in zip(*[batch.column(c) for c in batch.schema.names]):
-                name = (of.as_py(), to.as_py())
-                if reader is None or reader.name != name:
-                    if reader is not None:
-                        done.append(reader.row())
-                    reader = _Reader(name, tokens)
-                reader.take(position.as_py(), ids.values.to_pylist(), a.as_py(), b.as_py())
-            yield from _batch(done)
-        if reader is not None:
-            yield from _batch([reader.row()])
+            done, lists = [], batch.column("ids")
+            cuts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            narrow = [batch.column(c).to_pylist() for c in ("of", "ends", "position", "depth", "loss_from", "loss_to")]
+            for i, (of, ends, position, depth, a, b) in enumerate(zip(*narrow)):
+                if reader is None or reader.segment != of:
+                    reader = _Reader(of, tokens)
+                reader.expect(position)
+                if ends:
+                    done.append(reader.row(depth))
+                else:
+                    reader.take(flat[cuts[i]:cuts[i + 1]].tolist(), a, b)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=_NAMES)
 
     small_batches(rows.sparkSession)
     read = rows.mapInArrow(run, _READ)
@@ -214,36 +240,35 @@ _NAMES = ["of", "to", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "f
 _READ = "of bigint, to bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
-def _batch(rows):
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=_NAMES)
-
-
 class _Reader:
-    """Reads the turns of one conversation one after another and keeps digests and counts only."""
+    """Reads the turns of a segment one after another and keeps digests and counts only."""
 
-    def __init__(self, name: tuple[int, int], tokens: list[bytes]):
-        self.name, self.tokens, self.position = name, tokens, 0
+    def __init__(self, segment: int, tokens: list[bytes]):
+        self.segment, self.tokens, self.position = segment, tokens, 0
         self.n_turns = self.loss_chars = self.formatted = 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
+    def expect(self, position: int | None) -> None:
+        if position is not None and position != self.position:
+            raise ValueError(f"segment {self.segment}: position {position} where {self.position} is next")
+
     def _text(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode()
 
-    def take(self, position: int, ids: list[int], loss_from: int, loss_to: int) -> None:
-        if position != self.position:
-            raise ValueError(f"conversation {self.name}: position {position} where {self.position} is next")
+    def take(self, ids: list[int], loss_from: int, loss_to: int) -> None:
         self.position += len(ids)
         formatted = self._text(ids)
         if not (formatted.startswith(TURN) and formatted.endswith(END)):
-            raise ValueError(f"conversation {self.name}: a turn without its marks")
+            raise ValueError(f"segment {self.segment}: a turn without its marks")
         role, _, text = formatted[len(TURN):-len(END)].partition("\n")
         self.turns.update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
-        learned = unescape(self._text(ids[loss_from:loss_to]))
-        self.loss.update(learned.encode())
-        self.loss_chars += len(learned)
+        if loss_to > loss_from:
+            learned = unescape(self._text(ids[loss_from:loss_to]))
+            self.loss.update(learned.encode())
+            self.loss_chars += len(learned)
         self.formatted += len(formatted)
         self.n_turns += 1
 
-    def row(self) -> tuple:
-        return (*self.name, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted)
+    def row(self, depth: int) -> tuple:
+        """What has been read so far, as the conversations that end here have it."""
+        return (self.segment, depth, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted)
