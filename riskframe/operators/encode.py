@@ -162,21 +162,29 @@ def apply_group(
 
 
 def apply_encodings(
-    rows: DataFrame, fitted: Encodings, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS
+    rows: DataFrame, fitted: Encodings, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+    maps: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add every fitted count and mean, and the amount relative to its card's mean.
+    """Add every fitted count and mean (of ``maps`` only, if given), and the amount relative to its card's mean, if that is
+    among them.
 
     Hot keys for the maps too large to broadcast are found once, before the first join.
     """
+    wanted = [*FREQUENCY_KEYS, *GROUP_KEYS] if maps is None else list(maps)
     used = {**FREQUENCY_KEYS, **{name: keys for name, (keys, _) in GROUP_KEYS.items()}}
+    used = {name: used[name] for name in wanted}
     large = list(dict.fromkeys(tuple(k) for name, k in used.items() if fitted.n_rows[name] > broadcast_rows))
     hot = dict(zip(large, hot_tables(rows, large, hot_rows))) if large and not rows.isStreaming else {}
     limits = lambda keys: dict(broadcast_rows=broadcast_rows, hot_rows=hot_rows, hot=hot.get(tuple(keys)))
     out = rows
     for alias, keys in FREQUENCY_KEYS.items():
-        out = apply_counts(out, fitted.counts[alias], keys, alias, fitted.n_rows[alias], **limits(keys))
+        if alias in used:
+            out = apply_counts(out, fitted.counts[alias], keys, alias, fitted.n_rows[alias], **limits(keys))
     for name, (keys, stats) in GROUP_KEYS.items():
-        out = apply_group(out, fitted.groups[name], keys, name, stats, fitted.n_rows[name], **limits(keys))
+        if name in used:
+            out = apply_group(out, fitted.groups[name], keys, name, stats, fitted.n_rows[name], **limits(keys))
+    if "card1_mean_amt" not in out.columns:
+        return out
     return out.withColumn("amt_to_card1_mean_ratio", ratio_to_mean(F.col("amt_log"), F.col("card1_mean_amt")))
 
 

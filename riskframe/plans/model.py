@@ -24,7 +24,7 @@ from riskframe.plans.features import (
     with_history,
 )
 from riskframe.schema import ID, IMPORTANCE_ROWS, LABEL, SEED, SHORT_LISTS
-from riskframe.session import fresh_path, materialise, shared_folder
+from riskframe.session import fresh_path, materialise, scratch, shared_folder
 from riskframe.sources import versions
 
 # Values that a declared short list may have; trees keep one histogram for each.
@@ -334,30 +334,33 @@ def train(
 
     Maps, category indexes and trees see training rows, early stopping, the
     calibrator and the review policy validation rows; nothing sees the holdout.
+    Intermediate tables other than the feature table are deleted at the end.
     """
-    path = path or fresh_path(transactions.sparkSession, "model")
-    if unique_ids:
-        require_unique(transactions)
-    split = fit_time_split(transactions)
-    base = feature_table(transactions, split, unique_ids)
-    encodings = fit_encodings(base.where(F.col("split") == "train"), f"{path}/maps")
-    features = finish(with_encodings(base, encodings, unique_ids))
-    features = materialise(features, "encoded", partition_by=["split"])
-
-    in_train = features.where(F.col("split") == "train")
-    inputs = fit_inputs(in_train, categories)
-    vocabulary = fit_vocabulary(in_train, inputs, f"{path}/vocabulary")
-    fitting = features.where(F.col("split") != "holdout")
-    prepared = materialise(inputs.prepare(fitting, [ID, LABEL, "split"], vocabulary, ID if unique_ids else None), "prepared", partition_by=["split"])
-    trees, best = fit_trees(prepared, inputs, settings)
-
-    artifacts = Artifacts(inputs, trees, None, encodings, {}, split, path, vocabulary, best)
-    raw = materialise(
-        artifacts.raw_scores(features.where(F.col("split") == "val"), [ID, LABEL]), "validation"
-    )
-    artifacts.calibrator = fit_calibrator(raw)
-    artifacts.policy = fit_review_policy(artifacts.calibrate(raw))
-    return artifacts, features
+    spark = transactions.sparkSession
+    path = path or fresh_path(spark, "model")
+    with scratch(spark, "encoded", "map"):
+        if unique_ids:
+            require_unique(transactions)
+        split = fit_time_split(transactions)
+        base = feature_table(transactions, split, unique_ids)
+        encodings = fit_encodings(base.where(F.col("split") == "train"), f"{path}/maps")
+        features = finish(with_encodings(base, encodings, unique_ids))
+        features = materialise(features, "encoded", partition_by=["split"])
+
+        in_train = features.where(F.col("split") == "train")
+        inputs = fit_inputs(in_train, categories)
+        vocabulary = fit_vocabulary(in_train, inputs, f"{path}/vocabulary")
+        fitting = features.where(F.col("split") != "holdout")
+        prepared = materialise(inputs.prepare(fitting, [ID, LABEL, "split"], vocabulary, ID if unique_ids else None), "prepared", partition_by=["split"])
+        trees, best = fit_trees(prepared, inputs, settings)
+
+        artifacts = Artifacts(inputs, trees, None, encodings, {}, split, path, vocabulary, best)
+        raw = materialise(
+            artifacts.raw_scores(features.where(F.col("split") == "val"), [ID, LABEL]), "validation"
+        )
+        artifacts.calibrator = fit_calibrator(raw)
+        artifacts.policy = fit_review_policy(artifacts.calibrate(raw))
+        return artifacts, features
 
 
 def holdout_scores(artifacts: Artifacts, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -303,8 +303,7 @@ def identity_join_buckets(spark, d):
 def frequency_lookup(spark, d):
     rows, train = encoded_rows(spark, d)
     maps = encode.fit_encodings(train)
-    for alias, keys in encode.FREQUENCY_KEYS.items():
-        rows = encode.apply_counts(rows, maps.counts[alias], keys, alias, maps.n_rows[alias])
+    rows = encode.apply_encodings(rows, maps, maps=list(encode.FREQUENCY_KEYS))
     return rows.select(ID, *as_double(*encode.FREQUENCY_KEYS))
 
 
@@ -316,8 +315,7 @@ _GROUP_FEATURES = ["card1_mean_amt", "card1_addr1_count", "card1_addr1_mean_amt"
 def group_lookup(spark, d):
     rows, train = encoded_rows(spark, d)
     maps = encode.fit_encodings(train)
-    for name, (keys, stats) in encode.GROUP_KEYS.items():
-        rows = encode.apply_group(rows, maps.groups[name], keys, name, stats, maps.n_rows[name])
+    rows = encode.apply_encodings(rows, maps, maps=list(encode.GROUP_KEYS))
     return rows.select(ID, *rounded(*_GROUP_FEATURES, digits=4))
 
 

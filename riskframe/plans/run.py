@@ -14,7 +14,7 @@ from riskframe.plans import model as ml
 from riskframe.plans import report
 from riskframe.plans.features import mask_history
 from riskframe.schema import AMOUNT, ID, LABEL, TIME
-from riskframe.session import materialise
+from riskframe.session import materialise, scratch
 from riskframe.sources import versions
 from riskframe.sources.tables import write_report
 
@@ -47,29 +47,31 @@ def train_and_publish(
     """Train on the merged table, evaluate the holdout, write artifacts and document.
 
     An ``unlabelled`` pair of tables is merged beside it; the document states the rows and times of both.
+    Intermediate tables go, but for the features, scores and document of the result.
     """
-    merged = clean_tables(transactions, identity, f"{path}/merged")
-    spans = [time_range(merged, "labelled")]
-    if unlabelled is not None:
-        spans.append(time_range(clean_tables(*unlabelled, f"{path}/merged_unlabelled"), "unlabelled"))
-    artifacts, features = ml.train(merged, f"{path}/model", settings, unique_ids=True)
-    artifacts.save()
-    scores = ml.holdout_scores(artifacts, features, ["ProductCD", "amt_log"])
-    record = metrics.evaluate(scores, artifacts.policy, artifacts.importance())
-
-    facts = metrics.cross([
-        quality.label_profile(merged),
-        quality.identity_coverage(transactions, identity).select("n_with_identity", "pct_with_identity"),
-        quality.marker_rows(merged).select("n_with_marker"),
-        metrics.rows_as_array(quality.missing_rates_by_family(merged), "family", "missing_rates"),
-        *spans,
-    ]).withColumn("n_columns", F.lit(len(merged.columns)))
-    split = split_record(artifacts.split, artifacts.split.assign(merged.select(ID, "TransactionDT", LABEL)))
-    split = split.withColumns({"trees": F.lit(artifacts.best_iteration), "seed": F.lit(settings.seed)})
-    document = report.assemble(facts, split, record, ranking.score_examples(scores))
-    document = materialise(document, "document")
-    write_report(document, f"{path}/document")
-    return Run(artifacts, features, scores, document)
+    with scratch(transactions.sparkSession, "encoded", "map", "scored", "document"):
+        merged = clean_tables(transactions, identity, f"{path}/merged")
+        spans = [time_range(merged, "labelled")]
+        if unlabelled is not None:
+            spans.append(time_range(clean_tables(*unlabelled, f"{path}/merged_unlabelled"), "unlabelled"))
+        artifacts, features = ml.train(merged, f"{path}/model", settings, unique_ids=True)
+        artifacts.save()
+        scores = ml.holdout_scores(artifacts, features, ["ProductCD", "amt_log"])
+        record = metrics.evaluate(scores, artifacts.policy, artifacts.importance())
+
+        facts = metrics.cross([
+            quality.label_profile(merged),
+            quality.identity_coverage(transactions, identity).select("n_with_identity", "pct_with_identity"),
+            quality.marker_rows(merged).select("n_with_marker"),
+            metrics.rows_as_array(quality.missing_rates_by_family(merged), "family", "missing_rates"),
+            *spans,
+        ]).withColumn("n_columns", F.lit(len(merged.columns)))
+        split = split_record(artifacts.split, artifacts.split.assign(merged.select(ID, "TransactionDT", LABEL)))
+        split = split.withColumns({"trees": F.lit(artifacts.best_iteration), "seed": F.lit(settings.seed)})
+        document = report.assemble(facts, split, record, ranking.score_examples(scores))
+        document = materialise(document, "document")
+        write_report(document, f"{path}/document")
+        return Run(artifacts, features, scores, document)
 
 
 def serving_report(run: Run, strict: bool = False) -> DataFrame:

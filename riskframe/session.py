@@ -5,14 +5,18 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
+# (name, path) of what the innermost ``scratch`` block of this thread has written.
+_inside: ContextVar[list[tuple[str, str]] | None] = ContextVar("scratch", default=None)
 
 
 def local_session(cores: int | str = "*", **conf: object) -> SparkSession:
@@ -60,9 +64,34 @@ def together(*jobs: Callable):
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/riskframe/{name}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (inside := _inside.get()) is not None:
+        inside.append((name, path))
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession, *keep: str) -> Iterator[None]:
+    """Deletes the intermediate tables written inside once the block ends, also by an error, but for those named ``keep``.
+
+    Kept tables belong to the block around, if there is one. Tables of other threads are left alone. Nothing that is read
+    after the block may depend on a table that goes.
+    """
+    own: list[tuple[str, str]] = []
+    token = _inside.set(own)
+    try:
+        yield
+    finally:
+        _inside.reset(token)
+        around, made = _inside.get(), _made.get(spark.sparkContext.applicationId, [])
+        for name, path in own:
+            if name not in keep:
+                remove(spark, path)
+                if path in made:
+                    made.remove(path)
+            elif around is not None:
+                around.append((name, path))
+
+
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables of this session, once no result that reads them is wanted any more."""
     paths = _made.pop(spark.sparkContext.applicationId, [])

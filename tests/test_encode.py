@@ -128,3 +128,16 @@ def test_no_shuffle_carries_the_wide_row_twice(spark):
     assert len(carried) <= 1 and len(re.findall(r"Exchange hashpartitioning\(id", plan)) == 2
     again = out.join(df.select("id", "x").withColumnRenamed("x", "y"), "id")  # rows lie by id already
     assert len(re.findall(r"Exchange hashpartitioning\(id", again._jdf.queryExecution().executedPlan().toString())) <= 3
+
+
+def test_some_maps_find_hot_keys_once(spark, monkeypatch):
+    base = row_features(frame(spark, *[row(TransactionID=i, card1=7 if i % 3 else i, addr1=float(i % 4)) for i in range(60)]))
+    fitted, searches, find = encode.fit_encodings(base), [], encode.hot_tables
+    monkeypatch.setattr(encode, "hot_tables", lambda df, keys, n: searches.append(len(keys)) or find(df, keys, n))
+    whole = by_id(encode.apply_encodings(base, fitted))
+    for maps in (list(encode.FREQUENCY_KEYS), list(encode.GROUP_KEYS), ["addr1_count"]):
+        some = encode.apply_encodings(base, fitted, broadcast_rows=0, hot_rows=5, maps=maps)
+        added = [c for c in some.columns if c not in base.columns]
+        assert added and all(getattr(r, c) == getattr(whole[i], c) for i, r in by_id(some).items() for c in added)
+        assert ("amt_to_card1_mean_ratio" in added) == ("card1" in maps)
+    assert searches == [4, 3, 1]
