@@ -79,3 +79,10 @@ def test_columns_with_names_of_ours(spark):
         after = stage(spark, docs, SMALL)
         assert after.dtypes == docs.dtypes and 0 < after.count() <= 60
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= 60
+
+
+def test_whole_pipeline_on_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert rows.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns)
