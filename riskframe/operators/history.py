@@ -4,7 +4,8 @@
 per key would gather a hot card in one task.  Rows of hot keys are therefore
 dealt by ranges of (key, time, id), which are even whatever times or ids they
 share; the window runs inside a range, and the first row of a range takes the
-last time of the key's earlier ranges from a table of their ends.
+last time of the key's earlier ranges from a table of their ends.  A task holds
+many ranges where they are short, so tasks and files grow with the rows only.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from riskframe.operators.skew import HOT_ROWS, hot_keys, lookup_join
 from riskframe.schema import HISTORY_KEYS, ID, TIME
 from riskframe.session import materialise
 
+# Rows of hot keys that one task sorts and cuts into ranges.
+TASK_ROWS = 500_000
+
 
 def time_since_previous(
     rows: DataFrame, groups: Mapping[str, Sequence[str]] = HISTORY_KEYS, hot_rows: int = HOT_ROWS,
@@ -46,11 +50,20 @@ def time_since_previous(
     return cold.unionByName(out.drop("_range"))
 
 
-def cut_into_ranges(hot: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """The rows with the number of their range in the (key, time, id) order, as ``_range``; written."""
-    pieces = max(2, -(-2 * hot.count() // hot_rows))
-    dealt = hot.repartitionByRange(pieces, key, TIME, ID)
-    return materialise(dealt.withColumn("_range", F.spark_partition_id()), "hot-ranges")
+def cut_into_ranges(hot: DataFrame, key: str, hot_rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The rows with the number of their range in the (key, time, id) order, as ``_range``; written.
+
+    A task takes about ``task_rows`` rows and cuts them into ranges of ``hot_rows`` by their place in it.
+    """
+    n = hot.count()
+    spread = max(-(-n // task_rows), int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(2, min(-(-2 * n // hot_rows), spread))
+    dealt = hot.repartitionByRange(tasks, key, TIME, ID).sortWithinPartitions(key, TIME, ID)
+    # The upper bits are the task's number, the lower 33 the row's place in the task.
+    place = F.col("_place").bitwiseAND((1 << 33) - 1)
+    ranged = dealt.withColumn("_place", F.monotonically_increasing_id()).withColumn(
+        "_range", F.col("_place") - place + F.floor(place / hot_rows).cast("long"))
+    return materialise(ranged.drop("_place"), "hot-ranges")
 
 
 def _gap(keys: Sequence[str], within: Sequence[str]):

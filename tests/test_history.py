@@ -1,5 +1,6 @@
 import random
 
+from pyspark.sql import functions as F
 from rows import by_id, frame, row
 
 from riskframe.operators.history import cut_into_ranges, time_since_previous
@@ -63,3 +64,13 @@ def test_sparse_ids_and_one_time_are_cut_evenly(spark):
     assert len(sizes) <= 2 * 1000 // 50 and max(sizes) <= 100
     got = by_id(time_since_previous(df, hot_rows=50))
     assert len(got) == 1000 and sorted(r[A] is None for r in got.values()) == [False] * 999 + [True]
+
+
+def test_short_ranges_share_tasks_and_files(spark):
+    """As many ranges as the rows ask for, but not a task and a file for each."""
+    df = frame(spark, *[row(TransactionID=i, TransactionDT=i // 3, card1=i % 2) for i in range(2000)])
+    cut = cut_into_ranges(df, "card1", 5)
+    ranges = [(r.n, r.keys) for r in cut.groupBy("_range").agg(F.count("*").alias("n"), F.count_distinct("card1").alias("keys")).collect()]
+    assert len(cut.inputFiles()) <= 4 and 400 <= len(ranges) <= 404 and max(n for n, _ in ranges) == 5
+    plain, got = by_id(time_since_previous(df)), by_id(time_since_previous(df, hot_rows=5))
+    assert all((got[i][A], got[i][B]) == (r[A], r[B]) for i, r in plain.items()) and len(got) == 2000
