@@ -109,3 +109,39 @@ def test_cached_scores_equal_the_network(monkeypatch):
     scorer = toxicity.Scorer(model)
     got = np.concatenate([scorer(texts[i:i + 10]) for i in range(0, len(texts), 10)])
     assert np.abs(got - expected).max() < 1e-4 and np.std(expected) > 0.05
+
+
+def test_every_labelled_text_is_learned_from(spark, monkeypatch):
+    """More of them than any bound, one of them long; the fold held out is the only one left out."""
+    import zlib
+
+    name = "translate(cast(id as string), '0123456789', 'abcdefghij')"
+    docs = spark.range(20_000).selectExpr("id as doc_id", f"if(id = 7, repeat('long ', 30000), concat({name}, ' x')) as text")
+    labels = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 5 = 0 as int) as toxic")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, settings: seen.append(rows.select("codes", "toxic").toPandas()))
+    toxicity.train(docs, labels)
+    wanted = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    words = ["long " * 30000 if i == 7 else str(i).translate(str.maketrans("0123456789", "abcdefghij")) + " x" for i in wanted]
+    assert 7 in wanted and len(wanted) > 12_000
+    assert sorted(seen[0]["codes"]) == sorted(toxicity.hashes(w.encode().split(), 1 << 16).astype("<u2").tobytes() for w in words)
+    assert seen[0]["toxic"].sum() == sum(i % 5 == 0 for i in wanted)
+
+
+def test_several_tasks_learn_one_network(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices("red blue green one two".split(), k=9)) + (" vile" if i % 4 == 0 else "")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, labels, settings=toxicity.Settings(shard=50)).collect()
+    assert len(got) == 600 and all(r.predicted == int(r.doc_id % 4 == 0) for r in got)
+
+
+def test_responses_do_not_depend_on_the_block(monkeypatch):
+    s = toxicity.Settings(buckets=100)
+    net, rng = toxicity._Net(s, np.random.default_rng(1)), np.random.default_rng(2)
+    docs = [rng.integers(1, 100, (n, toxicity.ROWS)) for n in (40, 0, 1, 25, 2)]
+    whole = net.forward(docs)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    for a, b in zip([*whole[1], *whole[2:]], [*(cut := net.forward(docs))[1], *cut[2:]]):
+        assert np.allclose(a, b)
