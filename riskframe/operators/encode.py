@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import key_text, ratio_to_mean
 from riskframe.operators.positions import number_rows
-from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, hot_tables, lookup_join
+from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS, hot_tables, known_hot, lookup_join
 from riskframe.schema import ACCOUNT_KEYS, FREQUENCY_KEYS, GROUP_KEYS
 from riskframe.session import fresh_path, materialise, together
 from riskframe.sources import versions
@@ -174,7 +174,11 @@ def apply_encodings(
     used = {**FREQUENCY_KEYS, **{name: keys for name, (keys, _) in GROUP_KEYS.items()}}
     used = {name: used[name] for name in wanted}
     large = list(dict.fromkeys(tuple(k) for name, k in used.items() if fitted.n_rows[name] > broadcast_rows))
-    hot = dict(zip(large, hot_tables(rows, large, hot_rows))) if large and not rows.isStreaming else {}
+    if rows.isStreaming:
+        fits = {tuple(used[name]): fitted.counts.get(name, fitted.groups.get(name)) for name in used}
+        hot = {keys: known_hot(fits[keys], keys, "cnt", hot_rows) for keys in large}
+    else:
+        hot = dict(zip(large, hot_tables(rows, large, hot_rows))) if large else {}
     limits = lambda keys: dict(broadcast_rows=broadcast_rows, hot_rows=hot_rows, hot=hot.get(tuple(keys)))
     out = rows
     for alias, keys in FREQUENCY_KEYS.items():
@@ -227,7 +231,11 @@ def apply_vocabulary(
     beside = large if unique_id and not rows.isStreaming else []
     out = _look_up_beside(rows, vocabulary, {c: n_rows[c] for c in beside}, hot_rows, unique_id) if beside else rows
     salted = [c for c in large if c not in beside]
-    hot = dict(zip(salted, hot_tables(rows, [[c] for c in salted], hot_rows))) if salted and not rows.isStreaming else {}
+    if rows.isStreaming:
+        of = lambda c: vocabulary.where(F.col("column") == c).select(F.col("value").alias(c), "seen")
+        hot = {c: known_hot(of(c), [c], "seen", hot_rows) for c in salted}
+    else:
+        hot = dict(zip(salted, hot_tables(rows, [[c] for c in salted], hot_rows))) if salted else {}
     for c, n in n_rows.items():
         if c not in beside:
             own = vocabulary.where(F.col("column") == c).select(

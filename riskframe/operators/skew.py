@@ -45,6 +45,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return hot_tables(df, [keys], hot_rows)[0].drop("_salts")
 
 
+def known_hot(table: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The like of ``hot_tables`` for a stream, whose rows can't be sampled: keys that ``table`` itself has counted as hot."""
+    salts = F.greatest(F.lit(2), F.ceil(F.col(count) / hot_rows)).cast("int")
+    return table.where(F.col(count) > hot_rows).select(*keys, salts.alias("_salts"))
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -60,14 +66,14 @@ def lookup_join(
     A table of at most ``broadcast_rows`` rows (counted, unless the caller knows
     the number) is broadcast and ``rows`` does not move.  A larger one is joined
     by shuffle; hot keys of ``rows`` (found here, unless the caller gives their
-    table) then get salts taken from ``spread_by``, as many as their rows ask for,
+    table, as it must for a stream that is not to repeat the whole table) then get salts taken from ``spread_by``, as many as their rows ask for,
     and their table rows are repeated once per salt.
     """
     n = table.count() if table_rows is None else table_rows
     if n <= broadcast_rows:
         return _null_safe_left(rows, table, keys, broadcast=True)
     salt = F.xxhash64(spread_by)
-    if rows.isStreaming:
+    if rows.isStreaming and hot is None:
         salted = rows.withColumn("_salt", F.pmod(salt, F.lit(STREAM_SALTS)).cast("int"))
         repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
         return _null_safe_left(salted, repeated, [*keys, "_salt"]).drop("_salt")
