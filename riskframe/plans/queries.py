@@ -545,12 +545,22 @@ def history_hot(spark, d):
     return time_since_previous(views.transactions(spark, d), hot_rows=40).select(ID, *as_double(*HISTORY_KEYS))
 
 
+# Rows of a file that a stream reads, about.
+_FILE_ROWS = 500_000
+
+
 def in_batches(spark: SparkSession, rows: DataFrame, order: list[str]) -> DataFrame:
     """A stream that delivers ``rows`` (with ``split``) in three micro-batches, slice by slice, which is in time order."""
     source = fresh_path(spark, "stream-in")
+    files = -(-rows.count() // _FILE_ROWS) or 1
     for part in order:
-        rows.where(F.col("split") == part).drop("split").coalesce(1).write.mode("append").parquet(source)
-    return spark.readStream.schema(rows.drop("split").schema).option("maxFilesPerTrigger", 1).parquet(source)
+        own = rows.where(F.col("split") == part).drop("split")
+        (own.repartition(files) if files > 1 else own.coalesce(1)).write.mode("append").parquet(source)
+        # A micro-batch is a number of files, so a slice that fills fewer gets empty ones.
+        written = len(spark.read.schema(own.schema).parquet(source).inputFiles())
+        for _ in range((order.index(part) + 1) * files - written):
+            spark.createDataFrame([], own.schema).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.drop("split").schema).option("maxFilesPerTrigger", files).parquet(source)
 
 
 @query("F1_time_since_previous_stream")
