@@ -37,27 +37,34 @@ class _History(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         last = tuple(self.last.get()) if self.last.exists() else None
+        # Each further key is asked for and written once, however many rows have it; a card without a last row has none.
+        known = {name: {} for name in self.by}
+        stored = last is not None
         for row in sorted(rows, key=lambda r: (r[TIME], r[ID])):
             fields, at = row.asDict(), (row[TIME], row[ID])
             late = row[TIME] * 1000 < watermark or (last is not None and at < last)
             gaps = dict.fromkeys(self.groups)
             if not late:
                 for name, keys in self.groups.items():
-                    gaps[name] = self._gap(name, tuple(row[k] for k in keys), row[TIME], last)
+                    gaps[name] = self._gap(name, tuple(row[k] for k in keys), row[TIME], last, known, stored)
                 last = at
             yield Row(**fields, **gaps, **{LATE: late})
+        for name, times in known.items():
+            for further, time in times.items():
+                self.by[name].updateValue(further, (time,))
         if last is not None:
             self.last.update(last)
             if self.forget_after is not None and not list(self.handle.listTimers()):
                 self.handle.registerTimer((last[0] + self.forget_after) * 1000)
 
-    def _gap(self, name, further, time, last) -> float | None:
+    def _gap(self, name, further, time, last, known, stored) -> float | None:
         if name not in self.by:
             before = None if last is None else last[0]
         else:
-            known = self.by[name]
-            before = known.getValue(further)[0] if known.containsKey(further) else None
-            known.updateValue(further, (time,))
+            times, state = known[name], self.by[name]
+            if further not in times:
+                times[further] = state.getValue(further)[0] if stored and state.containsKey(further) else None
+            before, times[further] = times[further], time
         if before is None or (self.forget_after is not None and time - before >= self.forget_after):
             return None
         return float(time - before)

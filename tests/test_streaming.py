@@ -3,15 +3,19 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from rows import frame, row
 
+from riskframe.operators.encode import apply_encodings, fit_encodings
 from riskframe.operators.history import time_since_previous
 from riskframe.operators.monitor import drift_record
+from riskframe.plans import queries
+from riskframe.plans.features import row_features
 from riskframe.session import fresh_path
 from riskframe.streaming.drift import response_counts, start_counting, window_records
-from riskframe.streaming.history import start_history, stream_history
-from riskframe.streaming.route import read_routed, write_batch
+from riskframe.streaming.history import _History, start_history, stream_history
+from riskframe.streaming.route import read_routed, start_routing, write_batch
 
 A, B = "time_since_prev_card1", "time_since_prev_card1_addr1"
 
@@ -102,3 +106,56 @@ def test_windows_of_the_log_equal_the_record_of_their_slice(spark, seed):
         want = drift_record(log.where((F.floor(F.col("TransactionDT") / 1000) * 1000) == r.window_from), 0.5).first()
         for c in ("n", "observed", "match", "p50_ms", "p95_ms", "errors", "duration_s"):
             assert r[c] == want[c], (r.window_from, c)
+
+
+def test_a_further_key_is_asked_for_and_written_once_a_batch():
+    class State(dict):
+        calls = 0
+
+        def containsKey(self, key):
+            self.calls += 1
+            return key in self
+
+        def getValue(self, key):
+            return self[key]
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self[key] = value
+
+    class Last:
+        value = (50, 0)
+        exists = lambda self: True
+        get = lambda self: self.value
+        update = lambda self, value: setattr(self, "value", value)
+
+    clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    step = _History({A: [], B: ["addr1"]}, None, None)
+    step.last, step.by = Last(), {B: State({(1.0,): (40,)})}
+    rows = [Row(TransactionID=i, TransactionDT=100 + i, addr1=1.0 + i % 2) for i in range(20)]
+    got = list(step.handleInputRows((1,), iter(rows), clock))
+    assert [r[B] for r in got] == [60.0, None] + [2.0] * 18 and [r[A] for r in got] == [50.0] + [1.0] * 19
+    assert step.by[B].calls == 4 and dict(step.by[B]) == {(1.0,): (118,), (2.0,): (119,)} and step.last.value == (119, 19)
+
+
+def test_slices_of_several_files_are_one_micro_batch_each(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_FILE_ROWS", 30)
+    rows = frame(spark, *_rows(120)).withColumn("split", F.expr("if(TransactionID < 100, 'train', if(TransactionID < 102, 'val', 'holdout'))"))
+    stream = queries.in_batches(spark, rows, ["train", "val", "holdout"])
+    sink, state = (fresh_path(spark, n) for n in ("out", "state"))
+    start_routing(stream, lambda batch: {"rows": batch}, sink, state).awaitTermination()
+    got = read_routed(spark, sink, "rows")
+    assert {r.batch: r["count"] for r in got.groupBy("batch").count().collect()} == {0: 100, 1: 2, 2: 18}
+    assert got.select(F.input_file_name()).distinct().count() > 3
+
+
+def test_large_tables_meet_a_stream_without_being_repeated(spark):
+    rows = frame(spark, *_rows(200))
+    fitted = fit_encodings(row_features(rows))
+    source, sink, state = (fresh_path(spark, n) for n in ("in", "out", "state"))
+    rows.write.parquet(source)
+    encoded = lambda df: apply_encodings(row_features(df), fitted, broadcast_rows=0, hot_rows=20)
+    stream = encoded(spark.readStream.schema(rows.schema).parquet(source))
+    assert "explode(sequence(0, 15" not in stream._jdf.queryExecution().logical().toString()
+    stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(str, spark.read.parquet(sink).collect())) == sorted(map(str, encoded(rows).collect()))
