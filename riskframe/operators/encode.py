@@ -20,6 +20,9 @@ from riskframe.schema import ACCOUNT_KEYS, FREQUENCY_KEYS, GROUP_KEYS
 from riskframe.session import fresh_path, materialise, together
 from riskframe.sources import versions
 
+# Frames with more columns than this are not shuffled by key.
+WIDE_COLUMNS = 64
+
 _SUMS = ["n", "n_amt", "sum_amt"]
 # The finest key sets; every other map is a sum over one of them.
 _BASES = {"account": ACCOUNT_KEYS, "card_mail": ["card1", "P_emaildomain"]}
@@ -181,12 +184,15 @@ def apply_encodings(
         hot = dict(zip(large, hot_tables(rows, large, hot_rows))) if large else {}
     limits = lambda keys: dict(broadcast_rows=broadcast_rows, hot_rows=hot_rows, hot=hot.get(tuple(keys)))
     out = rows
-    for alias, keys in FREQUENCY_KEYS.items():
-        if alias in used:
-            out = apply_counts(out, fitted.counts[alias], keys, alias, fitted.n_rows[alias], **limits(keys))
-    for name, (keys, stats) in GROUP_KEYS.items():
-        if name in used:
-            out = apply_group(out, fitted.groups[name], keys, name, stats, fitted.n_rows[name], **limits(keys))
+    # Maps that move the rows go first, while the rows are short.
+    for name in sorted(used, key=lambda name: fitted.n_rows[name] <= broadcast_rows):
+        keys = used[name]
+        if name in FREQUENCY_KEYS:
+            out = apply_counts(out, fitted.counts[name], keys, name, fitted.n_rows[name], **limits(keys))
+        else:
+            out = apply_group(out, fitted.groups[name], keys, name, GROUP_KEYS[name][1], fitted.n_rows[name], **limits(keys))
+    stats = [f"{name}_{stat}" for name, (_, of) in GROUP_KEYS.items() for stat in of]
+    out = out.select(*rows.columns, *[c for c in [*FREQUENCY_KEYS, *stats] if c in out.columns and c not in rows.columns])
     if "card1_mean_amt" not in out.columns:
         return out
     return out.withColumn("amt_to_card1_mean_ratio", ratio_to_mean(F.col("amt_log"), F.col("card1_mean_amt")))
@@ -224,11 +230,11 @@ def apply_vocabulary(
     """``{c}_code``, ``{c}_seen`` and ``{c}_missing`` for each text column of ``n_rows`` (column → number of its values).
 
     Values not in the vocabulary have code -1 and were seen 0 times; so have missing ones, which the flag tells apart.
-    Columns whose vocabulary is too large to broadcast are looked up together, see ``_look_up_beside``, if ``unique_id``
-    names a column that tells all rows apart; else ``rows`` is shuffled for each of them.
+    Several columns whose vocabulary is too large to broadcast, or one of wide rows, are looked up together, see
+    ``_look_up_beside``, if ``unique_id`` names a column that tells all rows apart; else ``rows`` is shuffled for each of them.
     """
     large = [c for c, n in n_rows.items() if n > broadcast_rows]
-    beside = large if unique_id and not rows.isStreaming else []
+    beside = large if unique_id and not rows.isStreaming and (len(large) > 1 or len(rows.columns) > WIDE_COLUMNS) else []
     out = _look_up_beside(rows, vocabulary, {c: n_rows[c] for c in beside}, hot_rows, unique_id) if beside else rows
     salted = [c for c in large if c not in beside]
     if rows.isStreaming:
@@ -236,7 +242,8 @@ def apply_vocabulary(
         hot = {c: known_hot(of(c), [c], "seen", hot_rows) for c in salted}
     else:
         hot = dict(zip(salted, hot_tables(rows, [[c] for c in salted], hot_rows))) if salted else {}
-    for c, n in n_rows.items():
+    # Vocabularies that move the rows go first, while the rows are short.
+    for c, n in sorted(n_rows.items(), key=lambda item: item[1] <= broadcast_rows):
         if c not in beside:
             own = vocabulary.where(F.col("column") == c).select(
                 F.col("value").alias(c), F.col("code").cast("double").alias(f"{c}_code"), F.col("seen").cast("double").alias(f"{c}_seen"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions import columns as C
-from riskframe.operators.encode import Encodings, apply_encodings, fit_encodings
+from riskframe.operators.encode import WIDE_COLUMNS, Encodings, apply_encodings, fit_encodings
 from riskframe.operators.joins import duplicate_keys
 from riskframe.operators.history import time_since_previous
 from riskframe.operators.skew import BROADCAST_ROWS, HOT_ROWS
@@ -18,9 +18,6 @@ from riskframe.schema import (
     TIME, numeric_family_columns,
 )
 
-# Frames with more columns than this are not shuffled by key; see ``_beside``.
-WIDE_COLUMNS = 64
-
 
 def _or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind).alias(name)

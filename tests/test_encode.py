@@ -141,3 +141,39 @@ def test_some_maps_find_hot_keys_once(spark, monkeypatch):
         assert added and all(getattr(r, c) == getattr(whole[i], c) for i, r in by_id(some).items() for c in added)
         assert ("amt_to_card1_mean_ratio" in added) == ("card1" in maps)
     assert searches == [4, 3, 1]
+
+
+def _exchanges(df):
+    """The exchanges by key in the plan, each with the line of the columns that it moves; small tables are not broadcast unasked."""
+    conf, name = df.sparkSession.conf, "spark.sql.autoBroadcastJoinThreshold"
+    before = conf.get(name)
+    conf.set(name, "-1")
+    try:
+        df = df.select("*")
+        df._jdf.queryExecution().executedPlan()
+    finally:
+        conf.set(name, before)
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [" ".join(lines[i:i + 2]) for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+
+
+def test_one_large_vocabulary_moves_the_rows_once(spark):
+    df, vocabulary, names = _coded(spark)
+    narrow = df.select("id", "x", *names[:3])
+    plain = encode.apply_vocabulary(narrow, vocabulary, dict.fromkeys(names[:3], 10))
+    out = encode.apply_vocabulary(narrow, vocabulary, dict.fromkeys(names[:2], 10) | {names[2]: 2_000_000}, hot_rows=50, unique_id="id")
+    moved = _exchanges(out)
+    assert len(moved) == 2 and not any("hashpartitioning(id" in e for e in moved)  # the rows by value, and the vocabulary
+    assert not any(f"{c}_{kind}" in e for e in moved for c in names[:2] for kind in ("code", "seen"))
+    assert out.count() == 300 and out.select(plain.columns).exceptAll(plain).isEmpty()
+
+
+def test_maps_that_move_rows_go_before_those_that_do_not(spark):
+    base = row_features(frame(spark, *[row(TransactionID=i, card1=i % 7, addr1=float(i % 4)) for i in range(60)]))
+    fitted = encode.fit_encodings(base)
+    plain = encode.apply_encodings(base, fitted)
+    fitted.n_rows["card1_addr1"] = 2_000_000
+    out = encode.apply_encodings(base, fitted)
+    rows_move = [e for e in _exchanges(out) if "amt_log" in e]
+    assert rows_move and not any(c in e for e in rows_move for c in ("_count", "_mean_amt"))
+    assert out.columns == plain.columns and out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
