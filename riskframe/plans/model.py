@@ -68,11 +68,14 @@ class Inputs:
         self, features: DataFrame, keep: Sequence[str], vocabulary: DataFrame, unique_id: str | None = None
     ) -> DataFrame:
         """``unique_id``, one of ``keep``, tells all rows apart; then large vocabularies do not move whole rows."""
-        rows = align(features, self.trained, keep)
+        used = [*self.sentinels, *self.categories, *self.coded]
+        narrow = align(features, {c: self.trained[c] for c in used}, keep)
+        coded = apply_vocabulary(narrow, vocabulary, self.coded, unique_id=unique_id)
+        # Flags and doubles come after the lookup, which may move the rows.
         numbers = [F.coalesce(F.col(c).cast("double"), F.lit(v)).alias(c) for c, v in self.sentinels.items()]
         flags = [F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in self.flagged]
-        narrow = rows.select(*keep, *numbers, *flags, *self.categories, *self.coded)
-        return apply_vocabulary(narrow, vocabulary, self.coded, unique_id=unique_id).drop(*self.coded)
+        found = [f"{c}_{kind}" for kind in ("code", "seen") for c in self.coded] + [f"{c}_missing" for c in self.coded]
+        return coded.select(*keep, *numbers, *flags, *self.categories, *found)
 
 
 def fit_inputs(train: DataFrame, categories: Sequence[str] | None = None) -> Inputs:
