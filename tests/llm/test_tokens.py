@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from riskframe.llm import byte_bpe, common, packed_rows, packing, packing_plan, queries, word_tokens
+from riskframe.llm import byte_bpe, common, packed_rows, packing, packing_plan, pair_merge, queries, word_tokens
 
 SMALL = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -79,6 +81,58 @@ def test_word_ids_equal_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+CUT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿ]+")
+
+
+def test_plain_texts_are_cut_like_the_pre_tokeniser():
+    rng = random.Random(5)
+    some = ["'", "''", "'s", "'LL", "'re", "'l", "'r", "l", "e", "s", "ve", " ", "\n", "\x0b", "\x1c", "\0", "a", "Zé", "23", "ß", "ÿ", "À", "!"]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 12))) for _ in range(5000)] + ["'", "x'l", "'s", "", "\n"]
+    parts, numbers, ends = word_tokens._cut(texts)
+    assert len(set(parts)) == len(parts)
+    got = [parts[i].decode("latin-1") for i in numbers]
+    for text, a, b in zip(texts, [0, *ends], ends):
+        assert got[a:b] == CUT.findall(text.lower())
+
+
+def test_ids_put_together_in_blocks_are_the_same(monkeypatch):
+    texts = odd_texts(200, 7) + [None, "plain words, don't stop"]
+    want = word_tokens.word_ids(WORDS)(texts)
+    monkeypatch.setattr(word_tokens, "BLOCK", 3)
+    assert word_tokens.word_ids(WORDS)(texts) == want
+
+
+def test_known_words_cost_less_than_an_object_for_each():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(2, 9))) for _ in range(500)]
+    text, ids_of = " ".join(rng.choices(words, k=150_000)), word_tokens.word_ids(WORDS)
+    ids_of([text])
+
+    def seconds(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+
+    assert min(seconds(lambda: ids_of([text])) for _ in range(5)) < min(seconds(lambda: CUT.findall(text.lower())) for _ in range(5))
+
+
+@pytest.mark.parametrize("pairs", [
+    [], [(0, 0, 5)], [(97, 97, 300), (97, 97, 299), (299, 97, 301)],
+    [(97 + i % 5, 97 + i // 5, 300 + 7 * i % 25) for i in range(25)] + [(300 + i % 25, 97 + i // 25, 400 + 11 * i % 125) for i in range(125)]])
+def test_words_merged_together_equal_words_merged_alone(pairs):
+    rank = {}
+    for a, b, c in pairs:
+        rank[a, b] = min(c, rank.get((a, b), c))
+    rng, byte = random.Random(8), np.arange(256)
+    words = [bytes(rng.choices(b"abcde", k=rng.randint(0, 40))) for _ in range(400)] + [b"", b"a", b"a" * 40]
+    for word, got in zip(words, pair_merge.PairMerger(pairs)(words, byte, byte)):
+        ids = list(word)
+        while found := [(rank[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]:
+            low, i = min(found)
+            ids[i:i + 2] = [low]
+        assert np.frombuffer(got, "<i4").tolist() == ids
+
+
 @pytest.fixture(scope="module")
 def long_documents(spark):
     rng = random.Random(4)
